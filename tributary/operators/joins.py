@@ -71,11 +71,13 @@ def unique_groups(df: DataFrame, key: str) -> DataFrame:
     return grouped.where("_n = 1").select(*df.columns)
 
 
-def group_value(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
-    """``df`` with an aggregate over all rows of the same ``key`` (null keys form one group).
+def group_value(df: DataFrame, keys: str | Sequence[str], value: Column, name: str) -> DataFrame:
+    """``df`` with an aggregate over all rows of the same key (null keys form one group).
 
     Equal to a window over the whole partition, but as a pre-aggregated lookup: no task has to
     hold all rows of one key, and the join can split a hot key.
     """
-    lookup = df.groupBy(F.col(key).alias("_group")).agg(value.alias(name))
-    return df.join(lookup, F.col(key).eqNullSafe(F.col("_group")), "left").drop("_group")
+    names = [keys] if isinstance(keys, str) else list(keys)
+    lookup = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(names)]).agg(value.alias(name))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(names)])
+    return df.join(lookup, same, "left").select(*df.columns, name)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.operators.joins import group_value
+
 
 def _order_code(df: DataFrame, column: str) -> Column:
     """A number that never falls as the column rises: equal codes are fine, reversed ones are not."""
@@ -18,6 +20,8 @@ def _order_code(df: DataFrame, column: str) -> Column:
         return F.conv(prefix, 16, 10).cast("double")
     if isinstance(kind, T.DateType):
         return F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.col(column).cast("timestamp").cast("double")
     return F.col(column).cast("double")
 
 
@@ -60,6 +64,12 @@ def number_within(
     return joined.select(*df.columns, (F.col("_before") + F.col("_local")).cast("long").alias(name))
 
 
+def rank_within(df: DataFrame, keys: Sequence[str], column: str, name: str = "rank", slices: int = 32) -> DataFrame:
+    """SQL ``rank`` per key by one ascending column: ties share the lowest of their row numbers."""
+    numbered = number_within(df, keys, [column], "_number", slices)
+    return group_value(numbered, [*keys, column], F.min("_number"), name).drop("_number")
+
+
 def match_nth(
     left: DataFrame,
     right: DataFrame,

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tributary.session import ensure_checkpoint_dir
+from tributary.session import fresh_folder
 
 
 def tree_paths(
@@ -25,25 +24,27 @@ def tree_paths(
 
     Below the root a label is left-padded with zeros, or cut, to ``width``. Nodes that hang on no
     path from the root are left out. A recursive query is capped in depth and rows, so the descent
-    runs level by level: each level is one equi join of the last level with the nodes, saved by a
-    reliable checkpoint so that the plan does not grow and a lost executor costs one level only.
+    runs level by level: each level is one equi join of the last level with the nodes, written to
+    the shared folder, so the plan does not grow and a lost executor costs one level only. The
+    result is one scan over all levels.
     """
-    ensure_checkpoint_dir(nodes.sparkSession)
+    spark = nodes.sparkSession
+    folder = fresh_folder(spark, "tree")
     columns = nodes.columns
-    level = nodes.where(is_root).select(
-        *columns, F.lit(1).alias(depth), F.col(label).alias(path)
-    ).checkpoint()
-    levels = [level]
-    while not level.isEmpty():
-        if len(levels) > max_depth:
+    level = nodes.where(is_root).select(*columns, F.col(label).alias(path))
+    schema = level.schema
+    number = 1
+    while True:
+        level.write.parquet(f"{folder}/{depth}={number}")
+        above = spark.read.schema(schema).parquet(f"{folder}/{depth}={number}")
+        if above.isEmpty():
+            break
+        if number > max_depth:
             raise ValueError(f"the tree is deeper than {max_depth} levels, or has a cycle")
-        above = level.select(
-            F.col(code).alias("_above"), F.col(depth).alias("_depth"), F.col(path).alias("_path")
+        number += 1
+        parents = above.select(F.col(code).alias("_above"), F.col(path).alias("_path"))
+        level = nodes.join(parents, F.col(parent) == F.col("_above")).select(
+            *columns, F.concat("_path", F.lit("-"), F.lpad(F.col(label), width, "0")).alias(path)
         )
-        level = nodes.join(above, F.col(parent) == F.col("_above")).select(
-            *columns,
-            (F.col("_depth") + 1).alias(depth),
-            F.concat("_path", F.lit("-"), F.lpad(F.col(label), width, "0")).alias(path),
-        ).checkpoint()
-        levels.append(level)
-    return reduce(DataFrame.unionAll, levels[:-1] or levels)
+    result = spark.read.schema(T.StructType(schema.fields).add(depth, T.IntegerType())).parquet(folder)
+    return result.select(*columns, depth, path)

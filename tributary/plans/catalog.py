@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tributary.plans import budget, contracts, people, transfers
+from tributary.session import kept_table
 
 
 @dataclass(frozen=True)
@@ -16,10 +17,13 @@ class Product:
     inputs: tuple[str, ...]
     schema: str
     view: bool = False
+    reread: bool = False  # read by several branches of its consumers: kept as a table in one plan too
 
 
-def _p(build: Callable[..., DataFrame], schema: str, inputs: str, view: bool = False) -> Product:
-    return Product(build, tuple(inputs.split()), schema, view)
+def _p(
+    build: Callable[..., DataFrame], schema: str, inputs: str, view: bool = False, reread: bool = False
+) -> Product:
+    return Product(build, tuple(inputs.split()), schema, view, reread)
 
 
 # Inputs are raw tables ("raw.x") or other products. The order is a valid build order.
@@ -27,15 +31,15 @@ PRODUCTS: dict[str, Product] = {
     "contratos": _p(contracts.contratos, "contratos", "raw.contratos"),
     "cronogramas": _p(contracts.cronogramas, "contratos", "raw.cronograma"),
     "empenhos": _p(contracts.empenhos, "contratos", "raw.empenhos"),
-    "empenhos_tesouro": _p(contracts.empenhos_tesouro, "contratos", "raw.empenhos_tesouro"),
+    "empenhos_tesouro": _p(contracts.empenhos_tesouro, "contratos", "raw.empenhos_tesouro", reread=True),
     "faturas": _p(contracts.faturas, "contratos", "raw.faturas"),
-    "identificadores": _p(contracts.identificadores, "contratos", "contratos empenhos faturas", view=True),
+    "identificadores": _p(contracts.identificadores, "contratos", "contratos empenhos faturas", view=True, reread=True),
     "contratos_empenhos": _p(contracts.contratos_empenhos, "contratos", "identificadores empenhos_tesouro"),
     "estagios_mensal": _p(contracts.estagios_mensal, "contratos", "empenhos_tesouro"),
     "contratos_estagios": _p(contracts.contratos_estagios, "contratos", "identificadores estagios_mensal"),
     "contratos_faturas": _p(contracts.contratos_faturas, "contratos", "contratos faturas"),
     "cronogramas_faturas_mensal": _p(
-        contracts.cronogramas_faturas_mensal, "contratos", "cronogramas raw.faturas"),
+        contracts.cronogramas_faturas_mensal, "contratos", "cronogramas raw.faturas", reread=True),
     "preenchimento_meses": _p(
         contracts.preenchimento_meses, "contratos", "cronogramas_faturas_mensal", view=True),
     "contratos_comparativo_mensal": _p(
@@ -101,7 +105,10 @@ PRODUCTS: dict[str, Product] = {
 
 
 def product(name: str, raw: Callable[[str], DataFrame], built: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """A product as one lazy plan over raw tables; ``built`` supplies products already materialised."""
+    """A product from raw tables; ``built`` supplies products already materialised.
+
+    Everything is one lazy plan, except that inputs which several branches read are written once.
+    """
     frames: dict[str, DataFrame] = dict(built or {})
 
     def get(key: str) -> DataFrame:
@@ -110,7 +117,8 @@ def product(name: str, raw: Callable[[str], DataFrame], built: Mapping[str, Data
                 frames[key] = raw(key.removeprefix("raw."))
             else:
                 entry = PRODUCTS[key]
-                frames[key] = entry.build(*[get(i) for i in entry.inputs])
+                frame = entry.build(*[get(i) for i in entry.inputs])
+                frames[key] = kept_table(frame, key) if entry.reread and key != name else frame
         return frames[key]
 
     return get(name)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
@@ -46,8 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def input_root(spark: SparkSession, name: str) -> str:
-    """A fresh folder for text, XML or stream inputs written by a job: below the checkpoint folder."""
-    import uuid
-
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder, for tables and inputs a job writes on its way."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def kept_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a frame that several branches of a job read. Unlike a cache it survives lost executors,
+    and each reader still prunes columns and pushes filters down.
+    """
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

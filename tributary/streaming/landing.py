@@ -1,4 +1,4 @@
-"""Incremental landing: new files of a folder are upserted into a keyed table."""
+"""Incremental landing: each new batch of files joins a keyed table whose last write wins."""
 
 from __future__ import annotations
 
@@ -8,44 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.operators.keyed import upsert
+from tributary.operators.keyed import all_not_null, keep_one
 
 
 def land_increment(
     spark: SparkSession,
     source: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     target: str,
     checkpoint: str,
     keys: Sequence[str],
-    order_by: str | None = None,
+    order_by: str,
     file_format: str = "json",
-    buckets: int = 1,
     max_files: int | None = None,
 ) -> None:
     """Take all files not seen before, then stop.
 
-    The table is split by a hash of the key into ``buckets`` folders, and a batch rewrites only
-    the folders its keys fall into. Each rewrite goes to a new version folder named by the batch,
-    so a batch that is run again after a failure gives the same result, and readers never see a
-    half-written folder: ``read_landed`` takes the newest complete version of each bucket.
+    Every micro-batch keeps its last row per key and is written to its own ``batch_id`` folder,
+    replacing what an earlier try of the same batch left there: a batch that runs again gives the
+    same table. The work of a batch grows with the batch, not with the table; which batch's row
+    counts is settled by the reader, and ``read_landed`` written elsewhere is the compacted table.
+    No watermark is needed, since a late record is just another write to its key.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        bucketed = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-        touched = [r[0] for r in bucketed.select("_bucket").distinct().collect()]  # at most `buckets` values
-        session = batch.sparkSession
-        for bucket in sorted(touched):
-            part = bucketed.where(F.col("_bucket") == bucket).drop("_bucket")
-            folder = f"{target.rstrip('/')}/bucket={bucket}"
-            latest = _latest_version(session, folder, before=batch_id)
-            current = session.read.parquet(latest) if latest else part.limit(0)
-            upsert(current, part, keys, order_by).write.mode("overwrite").parquet(
-                f"{folder}/version={batch_id:012d}"
-            )
+        rest = [F.col(c).desc_nulls_last() for c in batch.columns if c not in keys and c != order_by]
+        last = keep_one(batch.where(all_not_null(keys)), keys, F.col(order_by).desc_nulls_last(), *rest)
+        last.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
 
     query = (
         reader.load(source)
@@ -57,34 +49,7 @@ def land_increment(
     query.awaitTermination()
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the complete sub-folders of ``path``."""
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory())
-
-
-def _latest_version(spark: SparkSession, folder: str, before: int | None = None) -> str | None:
-    """The newest version folder that a finished write has marked."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name in reversed(_folders(spark, folder)):
-        if before is not None and int(name.removeprefix("version=")) >= before:
-            continue
-        mark = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}/_SUCCESS")
-        if mark.getFileSystem(conf).exists(mark):
-            return f"{folder}/{name}"
-    return None
-
-
-def read_landed(spark: SparkSession, target: str) -> DataFrame:
-    """The table as it stands: the newest complete version of every bucket."""
-    root = target.rstrip("/")
-    paths = [
-        version for name in _folders(spark, root)
-        if name.startswith("bucket=") and (version := _latest_version(spark, f"{root}/{name}"))
-    ]
-    return spark.read.parquet(*paths)
+def read_landed(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """The table as it stands: per key the row of the newest batch."""
+    batches = spark.read.option("mergeSchema", "true").parquet(target)
+    return keep_one(batches, keys, F.col("batch_id").desc()).drop("batch_id")
