@@ -59,13 +59,15 @@ def upsert(
     untouched = current.join(incoming.select(*keys), list(keys), "left_anti").select(*current.columns)
     carried = [c for c in current.columns if c not in batch.columns]
     if carried:
-        incoming = incoming.join(current.select(*keys, *carried), list(keys), "left")
+        old = current.select(*keys, *carried).join(incoming.select(*keys), list(keys), "left_semi")
+        incoming = incoming.join(old, list(keys), "left")
     return untouched.unionByName(incoming, allowMissingColumns=True)
 
 
 def merge_rows(current: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge with SQL equality: a key with a null part never matches, so its rows append again."""
-    complete = batch.where(all_not_null(keys)).dropDuplicates(list(keys))
+    rest = [F.col(c).asc_nulls_last() for c in batch.columns if c not in keys]
+    complete = keep_one(batch.where(all_not_null(keys)), keys, *(rest or [F.lit(1)]))
     partial = batch.where(~all_not_null(keys))
     untouched = current.join(complete.select(*keys), list(keys), "left_anti").select(*current.columns)
     return untouched.unionByName(complete, allowMissingColumns=True).unionByName(

@@ -25,27 +25,46 @@ def _order_code(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
+def _slice_number(code: str, cuts: Sequence[float]) -> str:
+    """SQL for how many of the sorted ``cuts`` lie below ``code``: a balanced tree of comparisons."""
+    def tree(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        return f"IF({code} <= {cuts[middle]!r}D, {tree(low, middle)}, {tree(middle + 1, high)})"
+
+    return tree(0, len(cuts))
+
+
 def number_within(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     name: str = "ordinal",
-    slices: int = 32,
+    rows_per_task: int = 5_000_000,
+    max_slices: int = 4096,
 ) -> DataFrame:
     """``row_number`` per key under a total ascending ``order`` (nulls first), with hot keys split.
 
-    Approximate quantiles of the first order column cut every key into up to ``slices`` ordered
-    slices. Rows are numbered inside (key, slice), and the slice totals before them are added. Any
-    cut points give the same exact numbers; they only decide how evenly a hot key is spread.
+    When the largest key fits one task, this is the plain window. Otherwise approximate quantiles
+    of the first order column cut every key into ordered slices; rows are numbered inside
+    (key, slice), and the sizes of the slices before them are added. Any cut points give the same
+    exact numbers; they only decide how evenly a hot key is spread. The driver sees one count and
+    the cut points.
     """
-    code = _order_code(df, order[0])
+    hottest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    slices = min(max_slices, -(-hottest // rows_per_task))
+    by_order = [F.col(c).asc_nulls_first() for c in order]
+    if slices <= 1:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order)).cast("long"))
+
+    coded = df.withColumn("_code", _order_code(df, order[0]))
     shares = [i / slices for i in range(1, slices)]
-    cuts = df.agg(F.percentile_approx(code, shares, 1000)).first()[0] if shares else []
-    cuts = sorted(set(cuts or []))
-    slice_of = reduce(lambda a, b: a + b, [(code > F.lit(c)).cast("int") for c in cuts], F.lit(0))
-    sliced = df.withColumn("_slice", F.coalesce(slice_of, F.lit(-1)))
+    found = coded.agg(F.percentile_approx("_code", shares, 10 * max_slices)).first()[0]
+    cuts = sorted(set(found or []))
+    sliced = coded.withColumn("_slice", F.expr(f"IF(_code IS NULL, -1, {_slice_number('_code', cuts)})"))
 
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*by_order)
     numbered = sliced.withColumn("_local", F.row_number().over(inside))
 
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,9 +83,9 @@ def number_within(
     return joined.select(*df.columns, (F.col("_before") + F.col("_local")).cast("long").alias(name))
 
 
-def rank_within(df: DataFrame, keys: Sequence[str], column: str, name: str = "rank", slices: int = 32) -> DataFrame:
+def rank_within(df: DataFrame, keys: Sequence[str], column: str, name: str = "rank", rows_per_task: int = 5_000_000) -> DataFrame:
     """SQL ``rank`` per key by one ascending column: ties share the lowest of their row numbers."""
-    numbered = number_within(df, keys, [column], "_number", slices)
+    numbered = number_within(df, keys, [column], "_number", rows_per_task)
     return group_value(numbered, [*keys, column], F.min("_number"), name).drop("_number")
 
 
@@ -76,15 +95,15 @@ def match_nth(
     on: Sequence[tuple[str, str]],
     order_left: Sequence[str],
     order_right: Sequence[str],
-    slices: int = 32,
+    rows_per_task: int = 5_000_000,
 ) -> DataFrame:
     """Full join of the k-th left row with the k-th right row of the same key.
 
     The ordinal is part of the join key, so a key with many rows is spread by the shuffle itself
     and no pairs within a group are formed. Column names of the two sides must differ.
     """
-    numbered_left = number_within(left, [l for l, _ in on], order_left, "ordinal_left", slices)
-    numbered_right = number_within(right, [r for _, r in on], order_right, "ordinal_right", slices)
+    numbered_left = number_within(left, [l for l, _ in on], order_left, "ordinal_left", rows_per_task)
+    numbered_right = number_within(right, [r for _, r in on], order_right, "ordinal_right", rows_per_task)
     condition = reduce(
         lambda a, b: a & b,
         [F.col(l) == F.col(r) for l, r in on],
