@@ -19,13 +19,17 @@ def row_count_match(source: DataFrame, target: DataFrame) -> DataFrame:
 def type_check(df: DataFrame, table: str, expected: Mapping[str, str]) -> DataFrame:
     """One row per column whose type differs from the expected one; absent columns pass.
 
-    Reads the schema only, never the data.
+    ``decimal`` without a precision accepts any. Reads the schema only, never the data.
     """
     actual = dict(df.dtypes)
+
+    def fits(kind: str, found: str) -> bool:
+        return found == kind or (kind == "decimal" and found.startswith("decimal("))
+
     wrong = [
         (table, column, kind, actual[column])
         for column, kind in expected.items()
-        if column in actual and actual[column] != kind
+        if column in actual and not fits(kind, actual[column])
     ]
     return df.sparkSession.createDataFrame(
         wrong, "table_name string, column_name string, expected_type string, actual_type string"

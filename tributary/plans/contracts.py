@@ -13,6 +13,7 @@ from tributary.operators.months import month_spine
 from tributary.plans.shape import (
     accounting, as_date, as_int, as_text, kept, money_br, ruled, shaped,
 )
+from tributary.session import kept_table
 
 # ---------------------------------------------------------------- bronze
 
@@ -179,17 +180,16 @@ def empenhos_tesouro(
 def identificadores(contratos: DataFrame, empenhos: DataFrame, faturas: DataFrame) -> DataFrame:
     """All keys by which a contract can be recognised.
 
-    The commitment numbers of a contract are those of its commitments and of its invoices: a full
-    join of two distinct key lists is their distinct union, null keys staying apart.
+    The commitment numbers of a contract are those of its commitments and of its invoices. A full
+    join of the two distinct lists is their distinct union, except that rows with a null part stay
+    apart by source; a tag on those rows does the same in one pass over each list.
     """
-    def numbers(df: DataFrame, number: str) -> DataFrame:
-        return df.select(F.col("contrato_id").cast("string").alias("_contract"), F.upper(number).alias("_ne"))
+    def numbers(df: DataFrame, number: str, source: int) -> DataFrame:
+        contract, ne = F.col("contrato_id").cast("string"), F.upper(number)
+        apart = F.when(contract.isNull() | ne.isNull(), F.lit(source)).otherwise(F.lit(0))
+        return df.select(contract.alias("_contract"), ne.alias("_ne"), apart.alias("_apart"))
 
-    listed = numbers(empenhos, "nota_empenho").distinct()
-    invoiced = numbers(faturas, "numero_empenho").distinct()
-    complete = F.col("_contract").isNotNull() & F.col("_ne").isNotNull()
-    both = listed.where(complete).union(invoiced.where(complete)).distinct()
-    numbered = both.union(listed.where(~complete)).union(invoiced.where(~complete))
+    numbered = numbers(empenhos, "nota_empenho", 1).union(numbers(faturas, "numero_empenho", 2)).distinct()
 
     unit = F.col("contratante__orgao__unidade_gestora__codigo")
     mode = F.col("codigo_modalidade")
@@ -269,7 +269,11 @@ def contratos_empenhos(identificadores: DataFrame, empenhos_tesouro: DataFrame)
     )
     residue = treasury.join(unmatched, "ne_ccor", "left_semi")
 
-    known = identificadores.select("contrato_id", "processo", "cnpj_cpf", "info_complementar").distinct()
+    # One row per contract and key set, read by every pass: the size of the contract table.
+    known = kept_table(
+        identificadores.select("contrato_id", "processo", "cnpj_cpf", "info_complementar").distinct(),
+        "contract-keys",
+    )
     linked = cascade(
         residue,
         [
