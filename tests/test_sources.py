@@ -136,6 +136,22 @@ def test_apply_batch_rules(spark, rows):
     assert len(catalog.LANDINGS) == 33
 
 
+def test_several_rows_per_person_are_replaced_together(spark, rows):
+    ddl = "cpf string, nome string, codbeneficio string"
+    old = spark.createDataFrame([("1", "a", "x"), ("1", "a", "y"), ("2", "b", None)], ddl)
+    new = spark.createDataFrame([("1", "a", "z"), ("1", "c", None), (None, "lost", None)], ddl)
+    assert rows(catalog.apply_batch("dados_dependentes", old, new)) == sorted(
+        [("1", "a", "z"), ("1", "c", None), ("2", "b", None)], key=str)
+
+
+def test_extract_rows_with_empty_keys_are_kept(spark, rows):
+    names = catalog.EXTRACT_COLUMNS["empenhos_tesouro"]
+    row = catalog.text_columns(spark.createDataFrame([("n1",)], "ne_ccor string"), names)
+    once = catalog.apply_batch("empenhos_tesouro", None, row)
+    twice = catalog.apply_batch("empenhos_tesouro", once, row.withColumn("ptres", F.lit("9")))
+    assert rows(twice, "ne_ccor", "doc_observacao", "ptres") == [("n1", "NaN", "9")]
+
+
 def test_partition_refresh_keeps_other_partitions(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     catalog.write_table(spark.createDataFrame([(1, 2023), (2, 2024)], "v int, y int"), path, partition_by=["y"])

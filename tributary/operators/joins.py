@@ -9,6 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def own_exchange(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Join condition on equal key tuples, null parts counting as equal.
+
+    For a lookup that was grouped by the very key it is joined on. With plain key equality Spark
+    would reuse the grouping's shuffle for the join, and then adaptive execution no longer splits a
+    hot key on the fact side. As one tuple the keys get their own shuffle on both sides.
+    """
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(left)]) == F.struct(
+        *[F.col(c).alias(f"k{i}") for i, c in enumerate(right)]
+    )
+
+
 def not_in(df: DataFrame, column: str, others: DataFrame, other_column: str) -> DataFrame:
     """Rows for which SQL ``column NOT IN (select other_column ...)`` is true.
 
@@ -19,7 +31,7 @@ def not_in(df: DataFrame, column: str, others: DataFrame, other_column: str) ->
     counts = others.agg(F.count(F.lit(1)).alias("n"), F.count(other_column).alias("known"))
     sizes = counts.select(F.struct("n", "known")).scalar()
     keys = others.select(F.col(other_column).alias("_listed")).where("_listed is not null").distinct()
-    absent = df.join(keys, F.col(column) == F.col("_listed"), "left_anti")
+    absent = df.join(keys, own_exchange([column], ["_listed"]), "left_anti")
     return absent.where(
         (sizes["n"] == sizes["known"]) & ((sizes["n"] == 0) | F.col(column).isNotNull())
     )
@@ -78,6 +90,6 @@ def group_value(df: DataFrame, keys: str | Sequence[str], value: Column, name: s
     hold all rows of one key, and the join can split a hot key.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
-    lookup = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(names)]).agg(value.alias(name))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(names)])
-    return df.join(lookup, same, "left").select(*df.columns, name)
+    groups = [f"_g{i}" for i in range(len(names))]
+    lookup = df.groupBy(*[F.col(k).alias(g) for k, g in zip(names, groups)]).agg(value.alias(name))
+    return df.join(lookup, own_exchange(names, groups), "left").select(*df.columns, name)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.operators.joins import own_exchange
+
 
 def all_not_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
@@ -64,6 +66,18 @@ def upsert(
     return untouched.unionByName(incoming, allowMissingColumns=True)
 
 
+def replace_groups(current: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``current`` with all rows of each key in ``batch`` replaced by the batch's rows of that key.
+
+    For responses that bring everything known about a key at once, as several rows.
+    """
+    incoming = batch.where(all_not_null(keys))
+    renamed = [f"_t{i}" for i in range(len(keys))]
+    touched = incoming.select(*[F.col(k).alias(t) for k, t in zip(keys, renamed)]).distinct()
+    untouched = current.join(touched, own_exchange(keys, renamed), "left_anti")
+    return untouched.unionByName(incoming, allowMissingColumns=True)
+
+
 def merge_rows(current: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge with SQL equality: a key with a null part never matches, so its rows append again."""
     rest = [F.col(c).asc_nulls_last() for c in batch.columns if c not in keys]

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.operators.joins import own_exchange
+
 
 @dataclass(frozen=True)
 class Pass:
@@ -19,17 +21,24 @@ class Pass:
     fact_key: str
 
 
-def cascade(facts: DataFrame, passes: Sequence[Pass], entity: str, residue_key: str) -> DataFrame:
+def cascade(
+    facts: DataFrame,
+    passes: Sequence[Pass],
+    entity: str,
+    residue_key: str,
+    residue: DataFrame | None = None,
+) -> DataFrame:
     """Linked facts with ``entity`` and the number of the ``link_pass`` that found it.
 
     Pass by pass, a fact links when its key is known among the candidates; then every fact that
     shares ``residue_key`` with a linked one leaves the residue. Facts without a residue key take
-    no part.
+    no part. ``residue``, when given, lists the residue keys to begin with.
 
     So a residue group is served by the first pass that any of its facts matches, and that can be
     found for all passes at once: the distinct (group, pass, key) triples are narrowed to known
     keys, and the lowest pass per group is taken. Then one join on (pass, key) links everything,
-    in place of a join and an anti join of the whole residue per pass.
+    in place of a join and an anti join of the whole residue per pass. The facts themselves are
+    joined twice, each time as the side that a skewed key lets Spark split.
     """
     facts = facts.where(F.col(residue_key).isNotNull())
     candidates = reduce(
@@ -52,13 +61,15 @@ def cascade(facts: DataFrame, passes: Sequence[Pass], entity: str, residue_key:
         .where("_key is not null")
         .distinct()
     )
+    if residue is not None:
+        wanted = wanted.join(residue.select(F.col(residue_key).alias("_group")), "_group", "left_semi")
     first_pass = (
         wanted.join(candidates.select("_pass", "_key").distinct(), ["_pass", "_key"], "left_semi")
         .groupBy("_group")
         .agg(F.min("_pass").alias("_pass"))
     )
 
-    served = facts.join(first_pass, F.col(residue_key) == F.col("_group"))
+    served = facts.join(first_pass, own_exchange([residue_key], ["_group"]))
     chosen = F.element_at(F.array(*[F.col(step.fact_key) for step in passes]), F.col("_pass"))
     linked = served.withColumn("_key", chosen).join(candidates, ["_pass", "_key"])
     return linked.select(entity, *facts.columns, F.col("_pass").alias("link_pass"))

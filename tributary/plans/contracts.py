@@ -267,15 +267,13 @@ def contratos_empenhos(identificadores: DataFrame, empenhos_tesouro: DataFrame)
         .select("ne_ccor")
         .distinct()
     )
-    residue = treasury.join(unmatched, "ne_ccor", "left_semi")
-
     # One row per contract and key set, read by every pass: the size of the contract table.
     known = kept_table(
         identificadores.select("contrato_id", "processo", "cnpj_cpf", "info_complementar").distinct(),
         "contract-keys",
     )
     linked = cascade(
-        residue,
+        treasury,
         [
             Pass(unique_groups(known, "processo"), "processo", "ne_num_processo"),
             Pass(unique_groups(known, "cnpj_cpf"), "cnpj_cpf", "ne_ccor_favorecido"),
@@ -283,6 +281,7 @@ def contratos_empenhos(identificadores: DataFrame, empenhos_tesouro: DataFrame)
         ],
         entity="contrato_id",
         residue_key="ne_ccor",
+        residue=unmatched,
     ).select("contrato_id", *LINK_COLUMNS)
     return matched.union(contract_only).union(linked).distinct()
 

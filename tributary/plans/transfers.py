@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import dates, money, text
-from tributary.operators.joins import splittable_full_join
+from tributary.operators.joins import own_exchange, splittable_full_join
 from tributary.plans.shape import accounting, kept, ruled, same, shaped
 
 # Event codes, unit and placeholders of the treasury system.
@@ -118,6 +118,14 @@ def num_transf_n_plano_acao(notas_de_credito: DataFrame, nc_tesouro_raw: DataFra
 # ---------------------------------------------------------------- silver
 
 
+def _with_plan(facts: DataFrame, transfer: str, num_transf_n_plano_acao: DataFrame) -> DataFrame:
+    """Facts with the plan of their transfer, if it has one; a transfer may hold very many facts."""
+    plans = num_transf_n_plano_acao.where("plano_acao is not null and num_transf is not null").select(
+        F.col("num_transf").alias("_transfer"), "plano_acao"
+    )
+    return facts.join(plans, own_exchange([transfer], ["_transfer"]), "left").drop("_transfer")
+
+
 def empenhos_plano_acao(empenhos_tesouro: DataFrame, num_transf_n_plano_acao: DataFrame) -> DataFrame:
     """Commitments whose description names a transfer or a credit note, with the transfer's plan."""
     description = F.col("ne_ccor_descricao")
@@ -127,18 +135,14 @@ def empenhos_plano_acao(empenhos_tesouro: DataFrame, num_transf_n_plano_acao: Da
         F.right("ne_ccor", F.lit(12)).alias("ne"),
         text.canonical_document(F.regexp_substr(description, F.lit(CREDIT_NOTE_NUMBER))).alias("nc"),
     ).where((F.col("nc") != "") | F.col("num_transf").isNotNull())
-    plans = num_transf_n_plano_acao.where("plano_acao is not null")
-    return named.distinct().join(plans, "num_transf", "left")
+    return _with_plan(named.distinct(), "num_transf", num_transf_n_plano_acao)
 
 
 def nc_plano_acao(nc_tesouro: DataFrame, num_transf_n_plano_acao: DataFrame) -> DataFrame:
     """Credit notes with their plan and a value signed by event."""
-    plans = num_transf_n_plano_acao.where("plano_acao is not null").select(
-        F.col("num_transf").alias("_transfer"), "plano_acao"
-    )
     notes = nc_tesouro.where(F.col("nc_transferencia") != NO_TRANSFER)
     value = F.col("nc_valor_linha")
-    return notes.join(plans, F.col("nc_transferencia") == F.col("_transfer"), "left").select(
+    return _with_plan(notes, "nc_transferencia", num_transf_n_plano_acao).select(
         "plano_acao",
         "emissao_dia",
         F.col("nc_transferencia").alias("num_transf"),
@@ -178,7 +182,10 @@ def pf_plano_acao(
         ).distinct(),
         ["pf", "ug_emitente"],
     ).select(*columns)
-    by_transfer = programmings.join(num_transf_n_plano_acao, "num_transf").select(*columns)
+    transfers = num_transf_n_plano_acao.where("num_transf is not null").select(
+        F.col("num_transf").alias("_transfer"), "plano_acao"
+    )
+    by_transfer = programmings.join(transfers, own_exchange(["num_transf"], ["_transfer"])).select(*columns)
     return by_document.union(by_transfer).distinct()
 
 

@@ -8,19 +8,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.operators.keyed import drop_copies, upsert
+from tributary.operators.keyed import drop_copies, replace_groups, upsert
 
 
 @dataclass(frozen=True)
 class Landing:
-    """How a raw table takes a batch: ``upsert`` by key, ``append``, ``append_dedupe`` or ``refresh``."""
+    """How a raw table takes a batch: ``upsert`` by key, ``replace`` all rows of a key, ``append``,
+    ``append_dedupe`` or ``refresh``.
+    """
 
     schema: str
     mode: str
     keys: tuple[str, ...] = ()
 
 
-# The raw tables of each source system with their keys.
+# The raw tables of each source system with their keys. Pay items and dependants'
+# benefits come as several rows per person, which are replaced together so that none is lost.
 LANDINGS = {
     "contratos": Landing("compras_gov", "upsert", ("id",)),
     "faturas": Landing("compras_gov", "upsert", ("id",)),
@@ -47,12 +50,12 @@ LANDINGS = {
     "lista_uorgs": Landing("siape", "upsert", ("codigo",)),
     "lista_servidores": Landing("siape", "upsert", ("cpf", "coduorg")),
     "dados_pa": Landing("siape", "upsert", ("cpf_servidor",)),
-    "dados_dependentes": Landing("siape", "upsert", ("cpf", "nome", "codbeneficio")),
+    "dados_dependentes": Landing("siape", "replace", ("cpf",)),
     "pensoes_instituidas": Landing("siape", "upsert", ("id_registro",)),
     "afastamento_historico": Landing("siape", "append"),
     "dados_pessoais": Landing("siape", "upsert", ("cpf",)),
     "dados_funcionais": Landing("siape", "upsert", ("cpf",)),
-    "dados_financeiros": Landing("siape", "upsert", ("cpf",)),
+    "dados_financeiros": Landing("siape", "replace", ("cpf",)),
     "dados_escolares": Landing("siape", "upsert", ("cpf",)),
     "dados_curriculo": Landing("siape", "upsert", ("cpf",)),
     "dados_afastamento": Landing("siape", "upsert", ("cpf",)),
@@ -101,14 +104,22 @@ PREAMBLE_LINES = {"empenhos_tesouro": (9,), "nc_tesouro": (10, 6), "pf_tesouro":
 
 
 def apply_batch(name: str, current: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """The raw table after a batch, by the rule of its landing."""
+    """The raw table after a batch, by the rule of its landing.
+
+    Empty cells in the key of an extract land as the word NaN, which the products know as empty:
+    a keyed table takes no null keys, and the row must not be lost.
+    """
     landing = LANDINGS[name]
+    if name in EXTRACT_COLUMNS and landing.keys:
+        batch = batch.fillna("NaN", subset=list(landing.keys))
     if current is None:
         current = batch.limit(0)
     if landing.mode == "refresh":
         return batch
     if landing.mode == "upsert":
         return upsert(current, batch, landing.keys, "dt_ingest" if "dt_ingest" in batch.columns else None)
+    if landing.mode == "replace":
+        return replace_groups(current, batch, landing.keys)
     joined = current.unionByName(batch, allowMissingColumns=True)
     if landing.mode == "append_dedupe":
         return drop_copies(joined, EXTRACT_COLUMNS[name], "dt_ingest")

@@ -16,7 +16,7 @@ def _texts(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     """One row per file. The unit of parallel work is the file; attachments are small and many."""
     files = spark.read.format("binaryFile").load(path)
     text = F.decode("content", encoding)
-    return files.select("path", F.regexp_replace(F.ltrim(text, F.lit("﻿")), "\r\n?", "\n").alias("text"))
+    return files.select("path", F.regexp_replace(F.ltrim(text, F.lit("\ufeff")), "\r\n?", "\n").alias("text"))
 
 
 def read_headerless(

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.session import ensure_skew_handling
+
 
 @dataclass(frozen=True)
 class Query:
@@ -21,6 +23,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self._spark, self._dir = spark, sf_dir.rstrip("/")
+        ensure_skew_handling(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
