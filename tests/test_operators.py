@@ -182,6 +182,22 @@ def test_snapshot_versions(spark, rows):
     assert rows(again) == rows(after)
 
 
+def test_history_table_leaves_closed_versions_alone(spark, tmp_path, rows):
+    from tributary.sources.catalog import create_history, read_table, update_history
+
+    path = str(tmp_path / "h")
+    state = lambda *data: spark.createDataFrame(list(data), "id int, v string")
+    create_history(path, state((1, "a"), (2, "b")), F.lit("2024-01-01"))
+    update_history(spark, path, state((1, "x"), (2, "b")), ["id"], ["v"], F.lit("2024-02-01"))
+    closed = tmp_path / "h" / "version=20240201T000000"
+    before = sorted(f.name for f in closed.iterdir())
+    update_history(spark, path, state((1, "y"), (3, "c")), ["id"], ["v"], F.lit("2024-03-01"))
+    update_history(spark, path, state((1, "y"), (3, "c")), ["id"], ["v"], F.lit("2024-03-01"))  # run again
+    assert rows(read_table(spark, path), "id", "v", "version") == sorted([
+        (1, "a", "20240201T000000"), (1, "x", "20240301T000000"), (1, "y", "open"), (2, "b", "open"), (3, "c", "open")], key=str)
+    assert sorted(f.name for f in closed.iterdir()) == before
+
+
 def test_quality_checks(spark, rows):
     a, b = spark.range(3), spark.range(4)
     assert rows(quality.row_count_match(a, b)) == [(3, 4)]

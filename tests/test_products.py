@@ -409,3 +409,12 @@ def test_build_all_and_declared_checks(spark, tmp_path):
     assert checks.failing_types(built.get).isEmpty() and checks.failing_counts(built.get, raw).isEmpty()
     lazy = product("contratos_resumo", raw)
     assert lazy.exceptAll(built["contratos_resumo"]).isEmpty()
+
+
+def test_treasury_table_is_merged_from_run_to_run(spark, tmp_path, rows):
+    def run(*changes):
+        frame = text_frame(spark, *[{**TREASURY, **c} for c in changes])
+        return build_all(lambda name: frame, str(tmp_path), ["empenhos_tesouro"])["empenhos_tesouro"]
+
+    run({"ptres": "1"}, {"natureza_despesa": "44"})
+    assert rows(run({"ptres": "2"}), "natureza_despesa", "ptres") == [("33", "2"), ("44", None)]

@@ -159,6 +159,18 @@ def test_partition_refresh_keeps_other_partitions(spark, tmp_path, rows):
     assert rows(catalog.read_table(spark, path), "v", "c", "y") == [(1, None, 2023), (3, "n", 2024)]
 
 
+def test_upsert_table_rewrites_touched_partitions_only(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    ddl = "id int, v string, y int"
+    catalog.write_table(spark.createDataFrame([(1, "a", 2023), (2, "b", 2024)], ddl), path, partition_by=["y"])
+    untouched = sorted(f.name for f in (tmp_path / "t" / "y=2023").iterdir())
+    batch = spark.createDataFrame([(2, "c", 2024), (3, "d", 2025)], ddl)
+    for _ in range(2):
+        catalog.upsert_table(spark, path, batch, ["id"], "y")
+        assert rows(catalog.read_table(spark, path), "id", "v", "y") == [(1, "a", 2023), (2, "c", 2024), (3, "d", 2025)]
+    assert sorted(f.name for f in (tmp_path / "t" / "y=2023").iterdir()) == untouched
+
+
 def test_incremental_landing(spark, tmp_path, rows):
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     put = lambda data: spark.createDataFrame(data, "id string, v string, at long").write.mode("append").json(source)

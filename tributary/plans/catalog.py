@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from tributary.plans import budget, contracts, people, transfers
 from tributary.session import kept_table
+from tributary.sources.catalog import publish_view, read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -18,12 +20,11 @@ class Product:
     schema: str
     view: bool = False
     reread: bool = False  # read by several branches of its consumers: kept as a table in one plan too
+    merged: bool = False  # a new run is merged into the table of the last one
 
 
-def _p(
-    build: Callable[..., DataFrame], schema: str, inputs: str, view: bool = False, reread: bool = False
-) -> Product:
-    return Product(build, tuple(inputs.split()), schema, view, reread)
+def _p(build: Callable[..., DataFrame], schema: str, inputs: str, **flags: bool) -> Product:
+    return Product(build, tuple(inputs.split()), schema, **flags)
 
 
 # Inputs are raw tables ("raw.x") or other products. The order is a valid build order.
@@ -31,7 +32,8 @@ PRODUCTS: dict[str, Product] = {
     "contratos": _p(contracts.contratos, "contratos", "raw.contratos"),
     "cronogramas": _p(contracts.cronogramas, "contratos", "raw.cronograma"),
     "empenhos": _p(contracts.empenhos, "contratos", "raw.empenhos"),
-    "empenhos_tesouro": _p(contracts.empenhos_tesouro, "contratos", "raw.empenhos_tesouro", reread=True),
+    "empenhos_tesouro": _p(
+        contracts.empenhos_tesouro, "contratos", "raw.empenhos_tesouro", reread=True, merged=True),
     "faturas": _p(contracts.faturas, "contratos", "raw.faturas"),
     "identificadores": _p(contracts.identificadores, "contratos", "contratos empenhos faturas", view=True, reread=True),
     "contratos_empenhos": _p(contracts.contratos_empenhos, "contratos", "identificadores empenhos_tesouro"),
@@ -127,19 +129,33 @@ def product(name: str, raw: Callable[[str], DataFrame], built: Mapping[str, Data
 def build_all(raw: Callable[[str], DataFrame], warehouse: str, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Materialise the products as Parquet below ``warehouse``, each from the tables written before it.
 
-    Views stay lazy and are registered under their name.
+    Views stay lazy and are registered under their name. A merged product takes its last state
+    along; the merge is written aside first, since it reads the table it replaces.
     """
-    from tributary.sources.catalog import publish_view, read_table, write_table
-
     built: dict[str, DataFrame] = {}
     for name in names or PRODUCTS:
         entry = PRODUCTS[name]
+        path = f"{warehouse.rstrip('/')}/{entry.schema}/{name}"
         frame = product(name, raw, built)
+        if entry.merged:
+            last = _existing(frame.sparkSession, path)
+            if last is not None:
+                landed = raw(entry.inputs[0].removeprefix("raw."))
+                frame = kept_table(entry.build(landed, last), name)
         if entry.view:
             publish_view(frame, name)
         else:
-            path = f"{warehouse.rstrip('/')}/{entry.schema}/{name}"
             write_table(frame, path)
             frame = read_table(frame.sparkSession, path)
         built[name] = frame
     return built
+
+
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or nothing when none was written yet."""
+    try:
+        return read_table(spark, path)
+    except AnalysisException as problem:
+        if "PATH_NOT_FOUND" in (problem.getCondition() or ""):
+            return None
+        raise

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.operators.history import snapshot, start_history
 from tributary.operators.keyed import drop_copies, replace_groups, upsert
+from tributary.session import kept_table
 
 
 @dataclass(frozen=True)
@@ -134,6 +136,50 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer.parquet(path)
 
 
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    order_by: str | None = None,
+) -> None:
+    """Upsert into a table partitioned by a column that depends on the key alone.
+
+    Only the partitions the batch falls into are read and rewritten. Their new content is first
+    written beside the table, so the table is never read while it is being replaced, and a failed
+    replacement can be repeated from there. The driver sees the touched partition values, of which
+    there are no more than partitions.
+    """
+    touched = [row[0] for row in batch.select(partition).distinct().collect()]
+    current = read_table(spark, path).where(F.col(partition).isin(touched))
+    after = kept_table(upsert(current, batch, keys, order_by), "upsert")
+    write_table(after, path, partition_by=[partition])
+
+
+def update_history(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], check_cols: Sequence[str], ts: Column
+) -> None:
+    """Bring a history table up to ``source``, leaving the closed versions on disk alone.
+
+    The table is partitioned by ``version``: ``open``, or the time at which a version was closed.
+    A run reads and rewrites the open versions and adds one partition of those it closed.
+    """
+    before = read_table(spark, path).where("version = 'open'").drop("version")
+    after = kept_table(snapshot(before, source, keys, check_cols, ts), "history")
+    write_table(_versioned(after), path, partition_by=["version"])
+
+
+def create_history(path: str, source: DataFrame, ts: Column) -> None:
+    """First state of a history table."""
+    write_table(_versioned(start_history(source, ts)), path, partition_by=["version"])
+
+
+def _versioned(history: DataFrame) -> DataFrame:
+    closed_at = F.date_format("valid_to", "yyyyMMdd'T'HHmmss")
+    return history.withColumn("version", F.coalesce(closed_at, F.lit("open")))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Parquet table whose files may have gained columns over time."""
     return spark.read.option("mergeSchema", "true").parquet(path)

@@ -13,7 +13,9 @@ from tributary.operators.history import snapshot, start_history
 from tributary.operators.keyed import append_evolving, drop_copies, merge_rows, upsert
 from tributary.session import fresh_folder
 from tributary.sources import landing, reports, soap, worklists
-from tributary.sources.catalog import publish_view, read_table, write_table
+from tributary.sources.catalog import (
+    create_history, publish_view, read_table, update_history, upsert_table, write_table,
+)
 from tributary.streaming.landing import land_increment, read_landed
 from tributary.workload.derived import br, day, iso, month, padded, year
 from tributary.workload.query import query
@@ -105,6 +107,31 @@ def snapshot_scd2(t, spark):
         F.date_format("valid_from", "yyyy-MM-dd").alias("since"), F.date_format("valid_to", "yyyy-MM-dd").alias("until"))
 
 
+@query("""
+    SELECT o_orderkey AS id, o_orderstatus AS status, CASE WHEN o_orderkey % 5 = 1 THEN '2024-02-01' END AS until, '2024-01-01' AS since FROM orders
+    UNION ALL
+    SELECT o_orderkey, o_orderstatus || '!', CASE WHEN o_orderkey % 35 = 1 THEN '2024-03-01' END, '2024-02-01' FROM orders WHERE o_orderkey % 5 = 1
+    UNION ALL
+    SELECT o_orderkey, o_orderstatus || '?', NULL, '2024-03-01' FROM orders WHERE o_orderkey % 35 = 1""")
+def history_table(t, spark):
+    """Three states of a history kept on disk; closed versions are not rewritten."""
+    path = fresh_folder(spark, "history")
+    first = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+
+    def marked(df, every, mark):
+        changed = F.col("id") % every == 1
+        return df.withColumn("status", F.when(changed, F.concat(first_letter, F.lit(mark))).otherwise(F.col("status")))
+
+    first_letter = F.left("status", F.lit(1))
+    second = marked(first, 5, "!")
+    create_history(path, first, F.lit("2024-01-01"))
+    update_history(spark, path, second, ["id"], ["status"], F.lit("2024-02-01"))
+    update_history(spark, path, marked(second, 35, "?"), ["id"], ["status"], F.lit("2024-03-01"))
+    return read_table(spark, path).select(
+        "id", "status", F.date_format("valid_to", "yyyy-MM-dd").alias("until"),
+        F.date_format("valid_from", "yyyy-MM-dd").alias("since"))
+
+
 # ------------------------------------------------------------------ landing
 
 
@@ -354,6 +381,24 @@ def table_writes(t, spark):
     return spark.table(name).select("o_orderkey", "status", "note", "y")
 
 
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 16 IN (3, 5) AND o_orderkey % 3 = 0 THEN 'updated' ELSE o_orderstatus END AS status,
+           CAST(o_orderkey % 16 AS INT) AS slot
+    FROM orders
+    UNION ALL SELECT -o_orderkey - 1, 'inserted', 3 FROM orders WHERE o_orderkey % 100 = 0""")
+def upsert_partitions(t, spark):
+    """A batch that falls into two of sixteen partitions rewrites those two."""
+    path = fresh_folder(spark, "slots")
+    slot = (F.col("o_orderkey") % 16).cast("int")
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), slot.alias("slot"))
+    write_table(rows, path, partition_by=["slot"])
+    updated = rows.where("slot IN (3, 5) AND o_orderkey % 3 = 0").withColumn("status", F.lit("updated"))
+    inserted = t.orders.where("o_orderkey % 100 = 0").select(
+        (-F.col("o_orderkey") - 1).alias("o_orderkey"), F.lit("inserted").alias("status"), F.lit(3).alias("slot"))
+    upsert_table(spark, path, updated.union(inserted), ["o_orderkey"], "slot")
+    return read_table(spark, path).select("o_orderkey", "status", "slot")
+
+
 @query("""
     SELECT user_id, event_id, event_type FROM events
     WHERE user_id IS NOT NULL
