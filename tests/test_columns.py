@@ -132,3 +132,16 @@ def test_python_list(spark):
 def test_join_text(spark):
     assert apply(spark, lambda a, b: text.join_text(a, b), None, "x") == "x"
     assert apply(spark, lambda a, b: text.join_text(a, b), None, None) == ""
+
+
+def test_sql_functions_agree_with_column_functions(spark):
+    from tributary.functions.sql import register
+
+    register(spark)
+    samples = ["1.234,56", "(1.234,56)", "", "  ", None, "NaN", "-7,5", "abc", "FEV/2024", "000/2024", "13/2024", "XXX/2024", "FEV",
+               "2024NC000123", "2024NC12"]
+    frame = spark.createDataFrame([(s,) for s in samples], "s string")
+    both = frame.select(
+        "s", money.parse_money("s").alias("m"), dates.parse_month_label("s").alias("d"), text.canonical_document("s").alias("n"))
+    by_name = frame.selectExpr("s", "parse_financial_value(s) AS m", "parse_date(s) AS d", "format_nc(s) AS n")
+    assert both.exceptAll(by_name).collect() == [] and by_name.exceptAll(both).collect() == []

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.functions import dates, money, text
+from tributary.functions.sql import register
 from tributary.plans.shape import clean
 from tributary.workload.derived import br, day, iso, month, month_name, padded, year
 from tributary.workload.query import query
@@ -238,3 +239,28 @@ def array_unnest_sign(t, spark):
         F.explode(F.when(F.col("l_returnflag") == "R", F.array(before, here)).otherwise(F.array(here))).alias("p")
     ).select("p.*")
     return placed.groupBy("y", "m").agg(F.sum("v").alias("balance"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT o_orderkey,
+           CAST(CASE WHEN o_orderkey % 12 = 0 THEN make_date(CAST(year(o_orderdate) - 1 AS INT), 12, 1)
+                ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS VARCHAR) AS month,
+           CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE '2024NC0' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 5, '0') END AS note,
+           CAST(CASE o_orderkey % 6 WHEN 0 THEN -o_totalprice WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 0
+                WHEN 4 THEN -o_totalprice ELSE o_totalprice END AS DOUBLE) AS amount
+    FROM orders""")
+def sql_functions(t, spark):
+    """The same functions called by name from SQL."""
+    register(spark)
+    raw = t.orders.select(
+        "o_orderkey",
+        F.expr(
+            f"CASE WHEN o_orderkey % 12 = 0 THEN '000/' || {year('o_orderdate')}"
+            f" ELSE {month_name('o_orderdate')} || '/' || {year('o_orderdate')} END"
+        ).alias("label"),
+        F.expr(f"CASE WHEN o_orderkey % 7 <> 0 THEN '2024NC00' || {padded('o_orderkey % 10000', 4)} END").alias("number"),
+        F.expr(ACCOUNTING).alias("value"),
+    )
+    return spark.sql(
+        "SELECT o_orderkey, parse_date(label) AS month, format_nc(number) AS note,"
+        " parse_financial_value(value) AS amount FROM {raw}", raw=raw)
