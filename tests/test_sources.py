@@ -36,6 +36,12 @@ def test_headerless_extract(spark, tmp_path, rows):
     assert rows(df) == [("1", 'a, "b"\nc', None, "x"), ("2", None, "3", None), ("9", "8", "7", None)]
 
 
+def test_sent_and_received_extracts_combine_by_name(spark, rows):
+    sent = spark.createDataFrame([("1", "a")], "nc string, ptres string")
+    received = spark.createDataFrame([("b", "2", "x")], "ptres string, nc string, extra string")
+    assert rows(reports.combine(sent, received)) == sorted([("1", "a", None), ("2", "b", "x")], key=str)
+
+
 def _report_line(first, fourteenth, n=22, **cells):
     values = [""] * n
     values[0], values[13] = first, fourteenth
