@@ -25,15 +25,15 @@ def _order_code(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _slice_number(code: str, cuts: Sequence[float]) -> str:
-    """SQL for how many of the sorted ``cuts`` lie below ``code``: a balanced tree of comparisons."""
-    def tree(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        return f"IF({code} <= {cuts[middle]!r}D, {tree(low, middle)}, {tree(middle + 1, high)})"
-
-    return tree(0, len(cuts))
+def _slice_number(code: Column, cuts: Sequence[float]) -> Column:
+    """How many of the sorted ``cuts`` lie below ``code``, by binary search in a constant array."""
+    listed = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda below, step: F.when(code > F.get(listed, below + step - 1), below + step).otherwise(below),
+    )
 
 
 def number_within(
@@ -62,7 +62,8 @@ def number_within(
     shares = [i / slices for i in range(1, slices)]
     found = coded.agg(F.percentile_approx("_code", shares, 10 * max_slices)).first()[0]
     cuts = sorted(set(found or []))
-    sliced = coded.withColumn("_slice", F.expr(f"IF(_code IS NULL, -1, {_slice_number('_code', cuts)})"))
+    in_slice = _slice_number(F.col("_code"), cuts) if cuts else F.lit(0)
+    sliced = coded.withColumn("_slice", F.when(F.col("_code").isNull(), -1).otherwise(in_slice))
 
     inside = Window.partitionBy(*keys, "_slice").orderBy(*by_order)
     numbered = sliced.withColumn("_local", F.row_number().over(inside))
