@@ -6,10 +6,11 @@ from compare import differences
 
 import __spark_entry__ as contract
 from tributary.workload.derived import RAW, land_raw, raw_cte
+from tributary.workload.registry import QUERIES as LIBRARY
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = {n: q.build for n, q in LIBRARY.items()}, {n: q.sql for n, q in LIBRARY.items() if q.sql}
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,7 @@ def sql():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_flagship(spark):
