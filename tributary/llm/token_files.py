@@ -30,7 +30,7 @@ from tributary.session import fresh_folder, kept_table
 SKIPPABLE_TABLE, SKIPPABLE_INDEX, SEEKABLE_MAGIC, HAS_CHECKSUM = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1, 0x80
 NO_ID = 1  # flag of a document without an id
 MANIFEST = "path string, first_id long, sort_place long, n_documents long, n_tokens long"
-DOCUMENTS = "path string, place long, doc_id long, start_in_file long, n_tokens long, ids_crc32 long"
+DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 class TokenFileWriter:
@@ -163,7 +163,7 @@ def read_token_files(manifest: DataFrame, wanted: Sequence[int] | None = None) -
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, before in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist()):
                 system, inner = opened(path)
                 with system.open_input_file(inner) as source:
                     reader = TokenFileReader(source)
@@ -172,19 +172,16 @@ def read_token_files(manifest: DataFrame, wanted: Sequence[int] | None = None) -
                         key = None if reader.index[place, 1] & NO_ID else int(reader.index[place, 0])
                         if chosen is None or key in chosen:
                             ids = reader.ids(place)
-                            out.append((path, place, key, int(reader.starts[place]), len(ids) // 4, zlib.crc32(ids)))
+                            out.append((key, before + int(reader.starts[place]), len(ids) // 4, zlib.crc32(ids)))
                     if out:
-                        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                        types = (pa.int64(),) * 4
                         names = [c.split()[0] for c in DOCUMENTS.split(", ")]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     before = Window.orderBy("sort_place").rowsBetween(Window.unboundedPreceding, -1)
-    starts = manifest.select(F.col("path").alias("m_path"), F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("before"))
+    starts = manifest.select("path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("before"))
     width = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    documents = manifest.select("path").repartition(width).mapInArrow(read, DOCUMENTS)
-    return documents.join(starts, F.col("path") == F.col("m_path")).select(
-        "doc_id", (F.col("start_in_file") + F.col("before")).cast("long").alias("start"), "n_tokens", "ids_crc32"
-    )
+    return starts.repartition(width).mapInArrow(read, DOCUMENTS)
 
 
 def token_files_round_trip(df: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
