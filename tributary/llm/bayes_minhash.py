@@ -14,7 +14,7 @@ from tributary.llm.common import components
 from tributary.llm.wordhash import Words, mix, text_chunks
 from tributary.session import kept_table
 
-HASHES, BAND_ROWS, BATCH = 128, 4, 16
+HASHES, BAND_ROWS, BATCH, PIVOTS, SMALL_BAND = 128, 4, 16, 4, 32
 _ADD = np.random.default_rng(11).integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _MULTIPLY = np.random.default_rng(12).integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _PLACE = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -112,18 +112,23 @@ def _prune(bounds: list[int]):
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, numerator: int, denominator: int) -> bool:
+    """Exact test of two sets, ``denominator`` * common >= ``numerator`` * union."""
+    both = np.concatenate((x, y))
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return denominator * common >= numerator * (len(both) - common)
+
+
 def _confirm(numerator: int, denominator: int):
-    """Arrow stage: exact test of the full sets, ``denominator`` * common >= ``numerator`` * union."""
+    """Arrow stage: which pairs of full sets are links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             alike = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = np.concatenate((x, y))
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                alike.append(denominator * common >= numerator * (len(both) - common))
+                alike.append(_linked(x, y, numerator, denominator))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(alike, pa.bool_())], names=["a", "b", "alike"])
 
     return run
@@ -148,7 +153,8 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in range(BAND_ROWS):
             keys = mix(keys * _PLACE[0] + whole[:, :, r])
         cls = np.repeat(batch.column("cls").to_numpy(), n_bands)
-        yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(keys.view(np.int64).ravel())], names=["cls", "band"])
+        places = np.tile(np.arange(n_bands, dtype=np.int32), len(whole))
+        yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(keys.view(np.int64).ravel()), pa.array(places)], names=["cls", "band", "place"])
 
 
 def key(*columns: str) -> Column:
@@ -156,6 +162,73 @@ def key(*columns: str) -> Column:
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
 
+def _open_pairs(bounds: list[int], numerator: int, denominator: int):
+    """Arrow stage over pairs of blocks of one band: pairs in different components that the signatures leave open.
+
+    A pair is given out only in the first band it shares, so once. Blocks that carry full sets confirm
+    their pairs at once and give out links only.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                get = {n: batch.column(n)[row].as_py() for n in batch.schema.names}
+                (ca, na, sa, ga), (cb, nb, sb, gb) = (
+                    [np.array(get[f"{s}_{c}"], dtype=np.int64) for c in ("cls", "name", "size")]
+                    + [np.frombuffer(b"".join(get[f"{s}_sig"]), dtype=np.uint32).reshape(-1, HASHES)] for s in "lr"
+                )
+                small, large = np.minimum(sa[:, None], sb[None, :]), np.maximum(sa[:, None], sb[None, :])
+                open_ = (na[:, None] != nb[None, :]) & (small * denominator >= large * numerator)
+                i, j = np.nonzero(np.triu(open_, 1) if get["same"] else open_)
+                matches = np.zeros(len(i), dtype=np.int64)
+                for step, bound in enumerate(bounds):
+                    cut = slice(step * BATCH, (step + 1) * BATCH)
+                    matches += (ga[i, cut] == gb[j, cut]).sum(axis=1)
+                    left = matches >= bound
+                    i, j, matches = i[left], j[left], matches[left]
+                agree = (ga[i].reshape(len(i), HASHES // BAND_ROWS, BAND_ROWS) == gb[j].reshape(len(i), HASHES // BAND_ROWS, BAND_ROWS)).all(axis=2)
+                first = agree.argmax(axis=1) == get["place"]
+                i, j = i[first], j[first]
+                if get["l_set"] is not None:
+                    xa, xb = ([np.frombuffer(v, dtype=np.uint64) for v in get[f"{s}_set"]] for s in "lr")
+                    sure = np.array([_linked(xa[p], xb[q], numerator, denominator) for p, q in zip(i, j)], dtype=bool)
+                    i, j = i[sure], j[sure]
+                a, b = ca[i], cb[j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return run
+
+
+def _rest_of_bands(
+    still: DataFrame, sizes: DataFrame, signed: DataFrame, sets: DataFrame | None, bounds: list[int], numerator: int, denominator: int, block_rows: int = 256
+) -> DataFrame:
+    """Open pairs (a, b) of every band's members, found block by block however many members a band has.
+
+    With ``sets`` the blocks carry them, and the pairs returned are links.
+    """
+    counted = still.join(sizes.select(key("band").alias("sk"), "n"), key("band") == F.col("sk"))
+    blocked = counted.withColumn("block", F.pmod(F.xxhash64("cls"), F.ceil(F.col("n") / block_rows))).select("band", "place", "block", "cls", "name")
+    info = signed.select(key("cls").alias("ik"), "n_shingles", "signature")
+    full = blocked.join(info, key("cls") == F.col("ik")).drop("ik")
+    if sets is None:
+        full = full.withColumn("shingles", F.lit(None).cast("binary"))
+    else:
+        full = full.join(sets.select(key("cls").alias("xk"), "shingles"), key("cls") == F.col("xk"))
+    blocks = kept_table(
+        full.groupBy("band", "place", "block").agg(F.collect_list(F.struct("cls", "name", "n_shingles", "signature", "shingles")).alias("m")), "band-blocks"
+    )
+
+    def side(s: str) -> list[Column]:
+        columns = (("cls", "cls"), ("name", "name"), ("size", "n_shingles"), ("sig", "signature"))
+        full_set = (F.lit(None).cast("array<binary>") if sets is None else F.col("m.shingles")).alias(f"{s}_set")
+        return [F.col("block").alias(f"{s}_block"), full_set, *[F.col(f"m.{c}").alias(f"{s}_{n}") for n, c in columns]]
+
+    left, right = blocks.select("band", "place", *side("l")), blocks.select(F.col("band").alias("r_band"), *side("r"))
+    met = left.join(right, (F.col("band") == F.col("r_band")) & (F.col("l_block") <= F.col("r_block")))
+    met = met.withColumn("same", F.col("l_block") == F.col("r_block")).drop("band", "r_band", "l_block", "r_block")
+    return met.mapInArrow(_open_pairs(bounds, numerator, denominator), "a long, b long")
+
+
 def _judge(pairs: DataFrame, signed: DataFrame, sets: DataFrame, bounds: list[int], numerator: int, denominator: int) -> DataFrame:
     """The pairs (a, b) that are links: sizes, then signatures in batches, then full sets of the survivors."""
     info = signed.select("cls", "n_shingles", "signature")
@@ -184,10 +257,11 @@ def near_documents(
     probability of a link falls below ``miss``; what survives is confirmed on the full sets.
 
     Bands of many members are not expanded into pairs. In each round every band compares its members
-    with one pivot, the member of smallest random rank, unless they are in one component
+    with up to four pivots, the members of smallest random ranks, unless they are in one component
     already; found links join components. What then is left open, the pairs of a band that lie in different
-    components and were not compared, is compared pair by pair, so no candidate is lost. The rounds go
-    on while they still halve that rest, which is counted without making the pairs.
+    components and were not compared, has its signatures compared in blocks of members, so no candidate is lost
+    and only pairs that still may be links leave a block. The rounds go
+    on while they shrink that rest by a tenth, and it is counted without making the pairs.
 
     Null and empty texts have no shingles and link with nothing. A row with a null id is not linked; its
     component is null and it is kept. Rows that repeat an id count as one document for their links if
@@ -202,9 +276,9 @@ def near_documents(
     # with the same first id, so classes get numbers of their own.
     grouped = whole.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("first_id"), F.any_value("signature").alias("signature"))
     classes = kept_table(grouped.withColumn("cls", F.monotonically_increasing_id()), "set-classes")
-    members = classes.select("cls", "signature").mapInArrow(_bands, "cls long, band long")
+    members = classes.select("cls", "signature").mapInArrow(_bands, "cls long, band long, place int")
     crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key("band").alias("bk"))
-    members = kept_table(members.join(crowded, key("band") == F.col("bk"), "left_semi").select("band", "cls"), "bands")
+    members = kept_table(members.join(crowded, key("band") == F.col("bk"), "left_semi").select("band", "place", "cls"), "bands")
     involved = kept_table(members.select("cls").distinct(), "involved")
     signed_in = kept_table(classes.join(involved, "cls", "left_semi").select("cls", "n_shingles", "signature", "first_id", "digest"), "involved-signatures")
     # The full sets of these, computed once more from the text of the class's first document.
@@ -216,7 +290,7 @@ def near_documents(
     links = tested = None
     open_before = None
     for turn in range(pivot_rounds + 1):
-        state = members.join(names.select(F.col("cls").alias("n_cls"), "name"), F.col("cls") == F.col("n_cls")).select("band", "cls", "name")
+        state = members.join(names.select(F.col("cls").alias("n_cls"), "name"), F.col("cls") == F.col("n_cls")).select("band", "place", "cls", "name")
         state = kept_table(state, "band-state")
         per_name = state.groupBy("band", "name").agg(F.count(F.lit(1)).alias("n"))
         per_band = per_name.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count(F.lit(1)).alias("names"))
@@ -225,20 +299,20 @@ def near_documents(
         if not rest[0]:
             break
         still = state.join(mixed.select(key("band").alias("mk")), key("band") == F.col("mk"), "left_semi")
-        few = rest[0] <= 4 * rest[1] or turn == pivot_rounds or (open_before is not None and rest[0] * 2 > open_before)
+        few = rest[0] <= 4 * rest[1] or turn == pivot_rounds or (open_before is not None and rest[0] > 0.9 * open_before)
         open_before = rest[0]
         if few:
-            other = still.select(F.col("band").alias("o_band"), F.col("cls").alias("o_cls"), F.col("name").alias("o_name"))
-            pairs = still.join(other, (F.col("band") == F.col("o_band")) & (F.col("cls") < F.col("o_cls")) & (F.col("name") != F.col("o_name"))).select(
-                F.col("cls").alias("a"), F.col("o_cls").alias("b")
-            )
+            # Pairs of small bands are few per member; those of large ones are confirmed where they are found.
+            large = _rest_of_bands(still, mixed.where(F.col("n") > SMALL_BAND), signed_in, sets, bounds, numerator, denominator)
+            large = kept_table(large, "links-of-large-bands")
+            links = large if links is None else links.union(large)
+            pairs = _rest_of_bands(still, mixed.where(F.col("n") <= SMALL_BAND), signed_in, None, bounds, numerator, denominator)
         else:
-            pivot = still.groupBy("band").agg(
-                F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), F.col("cls").alias("c"), F.col("name").alias("n"))).alias("p")
-            ).select(key("band").alias("pk"), "p")
-            pairs = still.join(pivot, key("band") == F.col("pk")).where("name != p.n").select(
-                F.least("cls", "p.c").alias("a"), F.greatest("cls", "p.c").alias("b")
-            )
+            ranks = [F.struct(F.xxhash64("cls", F.lit(turn * PIVOTS + i)).alias("r"), F.col("cls").alias("c"), F.col("name").alias("n")) for i in range(PIVOTS)]
+            lowest = F.array_distinct(F.transform(F.array(*[F.min(r) for r in ranks]), lambda p: F.struct(p["c"].alias("c"), p["n"].alias("n"))))
+            pivot = still.groupBy("band").agg(lowest.alias("p")).select(key("band").alias("pk"), "p")
+            met = still.join(pivot, key("band") == F.col("pk")).withColumn("p", F.filter("p", lambda p: p["n"] != F.col("name")))
+            pairs = met.select("cls", F.explode("p.c").alias("c")).select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b"))
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested.select(key("a", "b").alias("seen")), key("a", "b") == F.col("seen"), "left_anti")
