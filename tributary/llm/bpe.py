@@ -33,7 +33,7 @@ class Encoder:
     goes to the library whole, since the library takes such tokens out before it cuts.
     """
 
-    def __init__(self, path: str, remembered: int = 1_000_000, cuts_at_once: int = 500_000) -> None:
+    def __init__(self, path: str, remembered: int = 500_000, cuts_at_once: int = 500_000) -> None:
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._known: dict[str, bytes] = {}

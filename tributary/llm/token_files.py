@@ -36,7 +36,7 @@ DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 class TokenFileWriter:
     """Writes one file; documents are buffered up to a frame, so memory follows the longest document."""
 
-    def __init__(self, out, frame_bytes: int = 1 << 18, level: int = 3) -> None:
+    def __init__(self, out, frame_bytes: int = 1 << 18, level: int = 1) -> None:
         self._out, self._frame_bytes = out, frame_bytes
         self._compressor = zstandard.ZstdCompressor(level=level, write_content_size=True)
         self._buffer: list[bytes] = []
