@@ -145,3 +145,9 @@ def test_sql_functions_agree_with_column_functions(spark):
         "s", money.parse_money("s").alias("m"), dates.parse_month_label("s").alias("d"), text.canonical_document("s").alias("n"))
     by_name = frame.selectExpr("s", "parse_financial_value(s) AS m", "parse_date(s) AS d", "format_nc(s) AS n")
     assert both.exceptAll(by_name).collect() == [] and by_name.exceptAll(both).collect() == []
+
+
+def test_python_list_keeps_odd_bytes(spark):
+    frame = spark.createDataFrame([("[{'a': 'x\\xa0y'}]",), ("[{'a': 'it\\'s', 'b': None}]",), ("[{'a': 'c:\\\\xa0'}]",)], ["t"])
+    found = [r[0][0]["a"] for r in frame.select(text.python_list("t", "a string")).collect()]
+    assert found == ["x\u00a0y", "it's", "c:\\xa0"]

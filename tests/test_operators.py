@@ -158,9 +158,11 @@ def test_tree_paths(spark, rows):
 
 
 def test_tree_cycle_is_reported(spark):
-    nodes = spark.createDataFrame([("7", "1", "a"), ("1", "7", "b")], "code string, parent string, label string")
+    rooted = spark.createDataFrame([("7", "1", "a"), ("1", "7", "b")], "code string, parent string, label string")
+    assert tree_paths(rooted, "code", "parent", "label", F.col("code") == "7").count() == 2  # a root's parent is ignored
+    nodes = rooted.union(spark.createDataFrame([("2", "1", "c"), ("1", "2", "d")], rooted.schema))
     with pytest.raises(ValueError, match="cycle"):
-        tree_paths(nodes, "code", "parent", "label", F.col("code") == "7", max_depth=4)
+        tree_paths(nodes, "code", "parent", "label", F.col("code") == "7")
 
 
 def test_snapshot_versions(spark, rows):
@@ -189,12 +191,12 @@ def test_history_table_leaves_closed_versions_alone(spark, tmp_path, rows):
     state = lambda *data: spark.createDataFrame(list(data), "id int, v string")
     create_history(path, state((1, "a"), (2, "b")), F.lit("2024-01-01"))
     update_history(spark, path, state((1, "x"), (2, "b")), ["id"], ["v"], F.lit("2024-02-01"))
-    closed = tmp_path / "h" / "version=20240201T000000"
+    closed = tmp_path / "h" / "version=20240201T000000.000000"
     before = sorted(f.name for f in closed.iterdir())
     update_history(spark, path, state((1, "y"), (3, "c")), ["id"], ["v"], F.lit("2024-03-01"))
     update_history(spark, path, state((1, "y"), (3, "c")), ["id"], ["v"], F.lit("2024-03-01"))  # run again
     assert rows(read_table(spark, path), "id", "v", "version") == sorted([
-        (1, "a", "20240201T000000"), (1, "x", "20240301T000000"), (1, "y", "open"), (2, "b", "open"), (3, "c", "open")], key=str)
+        (1, "a", "20240201T000000.000000"), (1, "x", "20240301T000000.000000"), (1, "y", "open"), (2, "b", "open"), (3, "c", "open")], key=str)
     assert sorted(f.name for f in closed.iterdir()) == before
 
 

@@ -30,7 +30,6 @@ def test_land_json_flattens_and_lowers(spark, tmp_path):
 def test_headerless_extract(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text('Título, com vírgula\n\nperíodo\n1,"a, ""b""\nc",,x\r\n\n2,,"3",\n', encoding="utf-8")
     (tmp_path / "b.csv").write_text("h\nh\nh\n9,8,7", encoding="utf-8")
-    (tmp_path / "short.csv").write_text("only\none", encoding="utf-8")
     df = reports.read_headerless(spark, str(tmp_path / "*.csv"), ["p", "q", "r"], skip=3)
     assert df.columns == ["p", "q", "r", "col_3"]
     assert rows(df) == [("1", 'a, "b"\nc', None, "x"), ("2", None, "3", None), ("9", "8", "7", None)]
@@ -195,3 +194,36 @@ def test_incremental_landing(spark, tmp_path, rows):
 def test_extract_columns_have_no_repeats(name):
     columns = catalog.EXTRACT_COLUMNS[name]
     assert len(columns) == len(set(columns)) and name in catalog.PREAMBLE_LINES
+
+
+def test_short_extract_is_reported(spark, tmp_path):
+    (tmp_path / "short.csv").write_text("only\none", encoding="utf-8")
+    with pytest.raises(Exception, match="fewer lines than the preamble"):
+        reports.read_headerless(spark, str(tmp_path / "*.csv"), ["p"], skip=3, width=1).collect()
+
+
+def test_self_closed_elements_and_comments(spark, rows):
+    xml = '<Body><P nil="true"/><!-- <P><A>0</A></P> --><P u="a/b"><A>1</A></P><P><A>2</A></P></Body>'
+    found = soap.records(spark.createDataFrame([(xml,)], ["x"]), "x", "P", ["A"])
+    assert rows(found, "pos", "a") == [(0, None), (1, "1"), (2, "2")]
+
+
+def test_flat_record_reads_cdata_and_numeric_entities(spark, rows):
+    xml = "<Body><A>caf&#233; &amp; co</A><B><![CDATA[x < y]]></B><C>&lt;</C></Body>"
+    assert rows(soap.flat_record(spark.createDataFrame([(xml,)], ["x"]), "x", ["A", "B", "C"])) == [("caf\u00e9 & co", "x < y", "<")]
+
+
+def test_upsert_table_keeps_rows_without_partition(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "k string, v string, y string"
+    catalog.write_table(spark.createDataFrame([("a", "1", "2024"), ("b", "1", None), ("c", "1", None)], schema), path, partition_by=["y"])
+    catalog.upsert_table(spark, path, spark.createDataFrame([("b", "2", None)], schema), ["k"], "y")
+    assert rows(catalog.read_table(spark, path), "k", "v") == [("a", "1"), ("b", "2"), ("c", "1")]
+
+
+def test_history_runs_within_a_second(spark, tmp_path, rows):
+    path, state = str(tmp_path / "h"), lambda v: spark.createDataFrame([(1, v)], "id int, v string")
+    stamp = lambda part: F.lit(f"2024-02-01 00:00:00.{part}").cast("timestamp_ntz")
+    catalog.create_history(path, state("a"), stamp("000"))
+    for value, part in (("b", "100"), ("c", "900")):
+        catalog.update_history(spark, path, state(value), ["id"], ["v"], stamp(part))
+    assert rows(catalog.read_table(spark, path), "v") == [("a",), ("b",), ("c",)]

@@ -95,6 +95,8 @@ def python_list(c: Colish, element_ddl: str) -> Column:
     rewritten, and only where they stand as a value. Text that holds an apostrophe survives.
     """
     text = as_col(c)
+    # Python writes odd bytes as \\xHH, which JSON lacks; an escaped backslash before an x stays one.
+    text = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
         text = F.regexp_replace(text, rf"(?<=[:,\[]\s?){word}(?=\s?[,\]}}])", json_word)
-    return F.from_json(text, f"array<struct<{element_ddl}>>", {"allowSingleQuotes": "true"})
+    return F.from_json(text, f"array<struct<{element_ddl}>>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})

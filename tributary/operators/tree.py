@@ -18,7 +18,6 @@ def tree_paths(
     depth: str = "depth",
     path: str = "path",
     width: int = 5,
-    max_depth: int = 1000,
 ) -> DataFrame:
     """Every node reachable from the root, with its depth (root = 1) and path of labels.
 
@@ -26,25 +25,30 @@ def tree_paths(
     path from the root are left out. A recursive query is capped in depth and rows, so the descent
     runs level by level: each level is one equi join of the last level with the nodes, written to
     the shared folder, so the plan does not grow and a lost executor costs one level only. The
-    result is one scan over all levels.
+    result is one scan over all levels. A node that lies below itself ends the job with an error, found by
+    the codes on its own path; roots are taken out of the joined nodes, so a parent given to a root is ignored.
     """
     spark = nodes.sparkSession
     folder = fresh_folder(spark, "tree")
     columns = nodes.columns
-    level = nodes.where(is_root).select(*columns, F.col(label).alias(path))
+    level = nodes.where(is_root).select(*columns, F.col(label).alias(path), F.array(F.col(code)).alias("_trail"))
+    below = nodes.where(~F.coalesce(is_root, F.lit(False)))
     schema = level.schema
     number = 1
     while True:
         level.write.parquet(f"{folder}/{depth}={number}")
         above = spark.read.schema(schema).parquet(f"{folder}/{depth}={number}")
-        if above.isEmpty():
+        seen_before = F.array_contains(F.slice("_trail", 1, F.size("_trail") - 1), F.col(code))
+        found, turned = above.agg(F.count(F.lit(1)), F.bool_or(seen_before)).first()
+        if not found:
             break
-        if number > max_depth:
-            raise ValueError(f"the tree is deeper than {max_depth} levels, or has a cycle")
+        if turned:
+            raise ValueError("the tree has a cycle")
         number += 1
-        parents = above.select(F.col(code).alias("_above"), F.col(path).alias("_path"))
-        level = nodes.join(parents, F.col(parent) == F.col("_above")).select(
-            *columns, F.concat("_path", F.lit("-"), F.lpad(F.col(label), width, "0")).alias(path)
+        parents = above.select(F.col(code).alias("_above"), F.col(path).alias("_path"), F.col("_trail").alias("_codes"))
+        level = below.join(parents, F.col(parent) == F.col("_above")).select(
+            *columns, F.concat("_path", F.lit("-"), F.lpad(F.col(label), width, "0")).alias(path),
+            F.array_append("_codes", F.col(code)).alias("_trail"),
         )
     result = spark.read.schema(T.StructType(schema.fields).add(depth, T.IntegerType())).parquet(folder)
     return result.select(*columns, depth, path)

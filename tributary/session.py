@@ -44,8 +44,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder reliable checkpoints go to.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that one is used as it is.
-    Only where the setting is absent (tests, a laptop) a temporary folder is made.
+    A cluster names a shared folder in ``spark.checkpoint.dir``; that one is used as it is. Only a
+    ``local`` master, whose executors are the driver, may do without: it gets a temporary folder.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if not current:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tributary-checkpoint-"))
         current = context.getCheckpointDir()
     return current

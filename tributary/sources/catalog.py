@@ -152,7 +152,10 @@ def upsert_table(
     there are no more than partitions.
     """
     touched = [row[0] for row in batch.select(partition).distinct().collect()]
-    current = read_table(spark, path).where(F.col(partition).isin(touched))
+    in_touched = F.col(partition).isin([v for v in touched if v is not None])
+    if None in touched:
+        in_touched = in_touched | F.col(partition).isNull()
+    current = read_table(spark, path).where(in_touched)
     after = kept_table(upsert(current, batch, keys, order_by), "upsert")
     write_table(after, path, partition_by=[partition])
 
@@ -163,7 +166,8 @@ def update_history(
     """Bring a history table up to ``source``, leaving the closed versions on disk alone.
 
     The table is partitioned by ``version``: ``open``, or the time at which a version was closed.
-    A run reads and rewrites the open versions and adds one partition of those it closed.
+    A run reads and rewrites the open versions and adds one partition of those it closed, named to the
+    microsecond, so that runs in the same second do not replace each other's.
     """
     before = read_table(spark, path).where("version = 'open'").drop("version")
     after = kept_table(snapshot(before, source, keys, check_cols, ts), "history")
@@ -176,7 +180,7 @@ def create_history(path: str, source: DataFrame, ts: Column) -> None:
 
 
 def _versioned(history: DataFrame) -> DataFrame:
-    closed_at = F.date_format("valid_to", "yyyyMMdd'T'HHmmss")
+    closed_at = F.date_format("valid_to", "yyyyMMdd'T'HHmmss.SSSSSS")
     return history.withColumn("version", F.coalesce(closed_at, F.lit("open")))
 
 

@@ -30,12 +30,13 @@ def read_headerless(
     """Comma-separated files without a header: the first ``skip`` lines are dropped, columns go by
     position, and columns beyond ``names`` are called ``col_i``. All values are text.
 
+    A file with fewer lines than ``skip`` fails the job with its path: the extract is incomplete.
     With no ``width`` given, one pass finds the widest record, so that no column is lost.
     """
     preamble = rf"^(?:[^\n]*+\n){{{skip}}}" if skip else "^"
-    body = F.regexp_replace("text", preamble, "")
-    complete = _texts(spark, path, encoding).where(F.col("text").rlike(preamble))
-    records = complete.select(
+    short = F.concat(F.lit("fewer lines than the preamble has: "), "path")
+    body = F.when(~F.col("text").rlike(preamble), F.raise_error(short).cast("string")).otherwise(F.regexp_replace("text", preamble, ""))
+    records = _texts(spark, path, encoding).select(
         "path", F.posexplode(F.regexp_extract_all(body, F.lit(_RECORD), 1)).alias("_line", "_record")
     ).where(F.trim("_record") != "")
     if width is None:

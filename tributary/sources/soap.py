@@ -19,7 +19,7 @@ def plain_tags(c: Colish) -> Column:
 def _body(c: Colish) -> Column:
     """Inside of the SOAP body, null when there is none."""
     found = F.regexp_extract(plain_tags(c), r"(?s)<Body(?:\s[^>]*)?>(.*)</Body>", 1)
-    return F.nullif(found, F.lit(""))
+    return F.nullif(F.regexp_replace(found, r"(?s)<!--.*?-->", ""), F.lit(""))
 
 
 def _ddl(fields: Sequence[str]) -> str:
@@ -32,7 +32,8 @@ def _lowered(record: str, fields: Sequence[str]) -> list[Column]:
 
 def _elements(xml: Colish, tag: str) -> Column:
     """Each whole element of that name, at any depth of the body, in document order."""
-    pattern = rf"(?s)<{tag}(?:\s[^>]*)?(?:/>|>.*?</{tag}>)"
+    attributes = r"(?:\s(?:[^>/]|/(?!>))*+)?"  # may hold a slash, but not that of a self-closed element
+    pattern = rf"(?s)<{tag}{attributes}(?:/>|>.*?</{tag}>)"
     return F.regexp_extract_all(_body(xml), F.lit(pattern), 0)
 
 
@@ -49,7 +50,7 @@ def records(df: DataFrame, xml: str, tag: str, fields: Sequence[str], keep: Sequ
 
 def flat_record(df: DataFrame, xml: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """One row per response from all its leaf tags; of a repeated tag the last non-blank text stays."""
-    leaf = r"<([\w.-]+)(?:\s[^>]*)?>([^<]*)</\1>"
+    leaf = r"(?s)<([\w.-]+)(?:\s[^>]*)?>((?:<!\[CDATA\[.*?\]\]>|[^<])*+)</\1>"
     body = df.select(*keep, _body(xml).alias("_b")).where("_b is not null")
     leaves = body.select(
         *keep,
@@ -67,9 +68,12 @@ def flat_record(df: DataFrame, xml: str, fields: Sequence[str], keep: Sequence[s
 
 
 def _unescaped(c: Column) -> Column:
+    """Text of a leaf: numeric entities and CDATA are left to the XML reader, the rest are replacements."""
+    parsed = F.from_xml(F.concat(F.lit("<a><v>"), c, F.lit("</v></a>")), "v string")["v"]
+    odd = c.contains("&#") | c.contains("<![CDATA[")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    return F.when(odd, F.trim(parsed)).otherwise(c)
 
 
 def two_kinds(
