@@ -237,6 +237,10 @@ def score_toxicity(df: DataFrame, labels: DataFrame, threshold: float = 0.3, fit
 
 
 def drop_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = 40_000, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` that score below ``threshold``, whole, where they are."""
+    """The rows of ``df`` that score below ``threshold``, whole, where they are.
+
+    A text without any entry of the lexicon stays, whatever share of the labelled rows is toxic.
+    """
     lexicon = learn_lexicon(labelled_sample(df, labels, fit_rows, text, doc_id))
-    return df.where(toxicity(F.col(f"`{text}`"), lexicon)["score"] < threshold)
+    scored = df.withColumn("_toxicity", toxicity(F.col(f"`{text}`"), lexicon))
+    return scored.where((F.col("_toxicity.score") < threshold) | (F.col("_toxicity.hits") == 0)).drop("_toxicity")
