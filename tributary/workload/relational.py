@@ -58,12 +58,12 @@ def filters_mix(t, spark):
 
 
 @query("""
-    SELECT l_partkey, min(l_suppkey) AS l_suppkey
-    FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 1)
-    GROUP BY l_partkey HAVING count(*) = 1""")
+    SELECT l_orderkey, min(l_returnflag) AS l_returnflag
+    FROM (SELECT DISTINCT l_orderkey, l_returnflag FROM lineitem)
+    GROUP BY l_orderkey HAVING count(*) = 1""")
 def unique_group_having(t, spark):
-    pairs = t.lineitem.where("l_linenumber = 1").select("l_partkey", "l_suppkey").distinct()
-    return unique_groups(pairs, "l_partkey")
+    pairs = t.lineitem.select("l_orderkey", "l_returnflag").distinct()
+    return unique_groups(pairs, "l_orderkey")
 
 
 @query("""
@@ -101,10 +101,10 @@ def left_star(t, spark):
     FROM (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') RIGHT JOIN customer ON o_custkey = c_custkey
     GROUP BY 1, 2""")
 def right_residue(t, spark):
-    urgent = t.orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(F.count("o_orderkey").alias("n"))
     return urgent.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "right").groupBy(
         "c_custkey", "c_name"
-    ).agg(F.count("o_orderkey").alias("orders"))
+    ).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orders"))
 
 
 @query("""
@@ -146,7 +146,7 @@ def month_spine_per_customer(t, spark):
     SELECT p_partkey, p_name, p_size FROM part
     WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)""")
 def semi_join(t, spark):
-    wanted = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 40").select("l_partkey")
+    wanted = t.lineitem.where("l_returnflag = 'R' AND l_quantity > 40").select("l_partkey").distinct()
     return t.part.join(wanted, F.col("p_partkey") == F.col("l_partkey"), "left_semi").select(
         "p_partkey", "p_name", "p_size"
     )
@@ -185,7 +185,7 @@ URGENT_FREE = """
 
 @query(URGENT_FREE)
 def anti_not_exists(t, spark):
-    urgent = t.orders.where("o_orderpriority = '1-URGENT'").select("o_custkey")
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'").select("o_custkey").distinct()
     return t.customer.join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select(
         "c_custkey", "c_nationkey"
     )
