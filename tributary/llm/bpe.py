@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from functools import lru_cache
 from itertools import chain, islice
 
 import regex
@@ -28,15 +29,17 @@ _BEYOND_LATIN = re.compile("[^\\0-ɏ]")
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizers library encodes each distinct cut once and its ids are remembered; the memory is
-    bounded by ``remembered`` entries, after which it starts anew. A text that spells a special token
-    goes to the library whole, since the library takes such tokens out before it cuts.
+    The tokenizers library encodes each distinct cut once and its ids are remembered in two generations:
+    when the younger one is full it becomes the older, whose cuts move back as they occur again. So the
+    memory is bounded by about twice ``remembered`` entries and frequent cuts stay. A text that spells a
+    special token goes to the library whole, since the library takes such tokens out before it cuts.
     """
 
-    def __init__(self, path: str, remembered: int = 500_000, cuts_at_once: int = 500_000) -> None:
+    def __init__(self, path: str, remembered: int = 250_000, cuts_at_once: int = 500_000) -> None:
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._remembered, self._cuts_at_once = remembered, cuts_at_once
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -65,10 +68,13 @@ class Encoder:
             found[i] = ids
 
     def _of_cuts(self, lists: list[list[str]]) -> list[bytes]:
-        known = self._known
-        if len(known) > self._remembered:
-            known.clear()
-        if new := list(set(chain.from_iterable(lists)).difference(known)):
+        if len(self._known) > self._remembered:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
+        missing = set(chain.from_iterable(lists)).difference(known)
+        again = missing.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        if new := list(missing.difference(again)):
             encoding = self._tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
             ids, words = array("I", encoding.ids), encoding.word_ids
             start = 0
@@ -77,3 +83,9 @@ class Encoder:
                     known[new[words[start]]] = ids[start:end].tobytes()
                     start = end
         return [b"".join(map(known.__getitem__, cuts)) for cuts in lists]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The process's encoder, so that a worker's next task starts with what it remembers."""
+    return Encoder(path)

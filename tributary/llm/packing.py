@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.bpe import Encoder
+from tributary.llm.bpe import encoder
 from tributary.llm.wordhash import text_chunks
 from tributary.session import kept_table
 
@@ -60,7 +60,7 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, text
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch, texts in text_chunks(batches, "text"):
             out: list[tuple] = []
             for key, ids in zip(batch.column("doc_id").to_pylist(), encode([t.decode() for t in texts])):

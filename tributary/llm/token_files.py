@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.bpe import Encoder
+from tributary.llm.bpe import encoder
 from tributary.llm.files import make_folder, opened
 from tributary.llm.wordhash import text_chunks
 from tributary.session import fresh_folder, kept_table
@@ -130,7 +130,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, out, writer, first = Encoder(tokenizer), None, None, None
+        encode, out, writer, first = encoder(tokenizer), None, None, None
         path = f"{folder}/{uuid.uuid4().hex}.tok.zst"
         for batch, texts in text_chunks(batches, "text"):
             if writer is None:
