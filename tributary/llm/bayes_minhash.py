@@ -14,7 +14,8 @@ from tributary.llm.common import components
 from tributary.llm.wordhash import Words, mix, text_chunks
 from tributary.session import kept_table
 
-HASHES, BAND_ROWS, BATCH, PIVOTS, SMALL_BAND = 128, 4, 16, 4, 32
+HASHES, BAND_ROWS, BATCH, SMALL_BAND = 128, 4, 16, 32
+OPENING_BANDS = (4, 8, 16)
 _ADD = np.random.default_rng(11).integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _MULTIPLY = np.random.default_rng(12).integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _PLACE = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -257,11 +258,13 @@ def near_documents(
     probability of a link falls below ``miss``; what survives is confirmed on the full sets.
 
     Bands of many members are not expanded into pairs. In each round every band compares its members
-    with up to four pivots, the members of smallest random ranks, unless they are in one component
-    already; found links join components. What then is left open, the pairs of a band that lie in different
-    components and were not compared, has its signatures compared in blocks of members, so no candidate is lost
-    and only pairs that still may be links leave a block. The rounds go
-    on while they shrink that rest by a tenth, and it is counted without making the pairs.
+    with a pivot, the member of smallest random rank, unless they are in one component already; found
+    links join components. The opening rounds do so in the first 4, 8 and 16 band places only: they join
+    most of a large group, whose members then need not meet a pivot in every band. The rounds go on
+    while they shrink what is left open by a tenth, which is counted without making the pairs. What is
+    open then, the pairs of a band that lie in different components and were not compared, has its
+    signatures compared in blocks of members, so no candidate is lost and only pairs that still may be
+    links leave a block.
 
     Null and empty texts have no shingles and link with nothing. A row with a null id is not linked; its
     component is null and it is kept. Rows that repeat an id count as one document for their links if
@@ -289,7 +292,8 @@ def near_documents(
     names = involved.withColumn("name", F.col("cls"))
     links = tested = None
     open_before = None
-    for turn in range(pivot_rounds + 1):
+    last = len(OPENING_BANDS) + pivot_rounds
+    for turn in range(last + 1):
         state = members.join(names.select(F.col("cls").alias("n_cls"), "name"), F.col("cls") == F.col("n_cls")).select("band", "place", "cls", "name")
         state = kept_table(state, "band-state")
         per_name = state.groupBy("band", "name").agg(F.count(F.lit(1)).alias("n"))
@@ -299,8 +303,9 @@ def near_documents(
         if not rest[0]:
             break
         still = state.join(mixed.select(key("band").alias("mk")), key("band") == F.col("mk"), "left_semi")
-        few = rest[0] <= 4 * rest[1] or turn == pivot_rounds or (open_before is not None and rest[0] > 0.9 * open_before)
-        open_before = rest[0]
+        opening = turn < len(OPENING_BANDS)
+        few = rest[0] <= 4 * rest[1] or turn == last or (open_before is not None and rest[0] > 0.9 * open_before)
+        open_before = None if opening else rest[0]
         if few:
             # Pairs of small bands are few per member; those of large ones are confirmed where they are found.
             large = _rest_of_bands(still, mixed.where(F.col("n") > SMALL_BAND), signed_in, sets, bounds, numerator, denominator)
@@ -308,11 +313,12 @@ def near_documents(
             links = large if links is None else links.union(large)
             pairs = _rest_of_bands(still, mixed.where(F.col("n") <= SMALL_BAND), signed_in, None, bounds, numerator, denominator)
         else:
-            ranks = [F.struct(F.xxhash64("cls", F.lit(turn * PIVOTS + i)).alias("r"), F.col("cls").alias("c"), F.col("name").alias("n")) for i in range(PIVOTS)]
-            lowest = F.array_distinct(F.transform(F.array(*[F.min(r) for r in ranks]), lambda p: F.struct(p["c"].alias("c"), p["n"].alias("n"))))
+            if opening:
+                still = still.where(F.col("place") < OPENING_BANDS[turn])
+            lowest = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), F.col("cls").alias("c"), F.col("name").alias("n")))
             pivot = still.groupBy("band").agg(lowest.alias("p")).select(key("band").alias("pk"), "p")
-            met = still.join(pivot, key("band") == F.col("pk")).withColumn("p", F.filter("p", lambda p: p["n"] != F.col("name")))
-            pairs = met.select("cls", F.explode("p.c").alias("c")).select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b"))
+            met = still.join(pivot, key("band") == F.col("pk")).where("name != p.n").select("cls", F.col("p.c").alias("c"))
+            pairs = met.select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b"))
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested.select(key("a", "b").alias("seen")), key("a", "b") == F.col("seen"), "left_anti")
