@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tributary.operators import history, quality
@@ -76,25 +77,27 @@ def test_unique_groups_and_group_value(spark, rows):
 
 @pytest.mark.parametrize("order", [["n", "id"], ["t", "id"], ["d", "id"]])
 def test_numbering_with_a_hot_key_equals_plain_window(spark, rows, order):
-    """A third of the rows share one key; a small row limit forces the slices."""
+    """A third of the rows share one key, and all texts share a long prefix."""
     df = spark.range(3000).select(
         F.col("id"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(
             F.concat(F.lit("k"), F.col("id") % 97)).alias("k"),
         F.when(F.col("id") % 11 != 0, (F.col("id") * 7919) % 1000).alias("n"),
-        F.when(F.col("id") % 13 != 0, F.concat(F.lit("ç"), (F.col("id") * 31) % 500)).alias("t"),
+        F.when(F.col("id") % 13 != 0, F.concat(F.lit("Customer#0000ç"), (F.col("id") * 31) % 500)).alias("t"),
         F.date_add(F.lit("2020-01-01").cast("date"), ((F.col("id") * 17) % 900).cast("int")).alias("d"),
     )
-    plain = number_within(df, ["k"], order, rows_per_task=10**9)
-    sliced = number_within(df, ["k"], order, rows_per_task=20)
-    assert rows(plain, "id", "ordinal") == rows(sliced, "id", "ordinal")
+    window = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    plain = df.withColumn("ordinal", F.row_number().over(window))
+    assert rows(plain, "id", "ordinal") == rows(number_within(df, ["k"], order), "id", "ordinal")
 
 
 def test_rank_ties(spark, rows):
     df = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("a", 2, 3), ("b", None, 4)], "k string, v int, id int")
     expected = [(1, 1), (2, 1), (3, 3), (4, 1)]
     assert rows(rank_within(df, ["k"], "v"), "id", "rank") == expected
-    assert rows(rank_within(df, ["k"], "v", rows_per_task=1), "id", "rank") == expected
+    many = spark.range(4000).select("id", F.lit("hot").alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("v"))
+    plain = many.withColumn("rank", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first())))
+    assert rows(rank_within(many, ["k"], "v"), "id", "rank") == rows(plain, "id", "rank")
 
 
 def test_match_nth_two_posts_three_holders(spark, rows):

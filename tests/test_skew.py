@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from tributary.operators.joins import group_value, not_in, splittable_full_join
 from tributary.operators.keyed import replace_groups
+from tributary.operators import ordinals
 from tributary.operators.linkage import Pass, cascade
+from tributary.operators.ordinals import number_within
 
 SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
@@ -61,3 +63,19 @@ def test_anti_and_full_joins_split_a_hot_key(skew_settings, hot, spark):
     assert "skew=true" in final_plan(splittable_full_join(hot, other, ["k"], ["j"]))
     batch = hot.where("k between 10 and 20")
     assert "skew=true" in final_plan(replace_groups(hot, batch, ["k"]))
+
+
+def test_numbering_spreads_a_hot_key_over_ranges(skew_settings, spark):
+    """One key, one long prefix in all texts: the rows still fall into many ranges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 20_000, 1, 8).select(F.lit(1).alias("k"), F.format_string("Customer#%09d", "id").alias("t"), "id")
+        sizes = []
+        keep = ordinals.kept_table
+        ordinals.kept_table = lambda dealt, name: sizes.extend(r["count"] for r in dealt.groupBy("_range").count().collect()) or keep(dealt, name)
+        numbered = number_within(df, ["k"], ["t"])
+    finally:
+        ordinals.kept_table = keep
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) >= 16 and max(sizes) < 0.2 * 20_000
+    assert numbered.where("ordinal != id + 1").count() == 0 and numbered.count() == 20_000

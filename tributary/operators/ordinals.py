@@ -7,87 +7,49 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tributary.operators.joins import group_value
-
-
-def _order_code(df: DataFrame, column: str) -> Column:
-    """A number that never falls as the column rises: equal codes are fine, reversed ones are not."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        prefix = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.col(column).cast("timestamp").cast("double")
-    return F.col(column).cast("double")
-
-
-def _slice_number(code: Column, cuts: Sequence[float]) -> Column:
-    """How many of the sorted ``cuts`` lie below ``code``, by binary search in a constant array."""
-    listed = F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(cuts).bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda below, step: F.when(code > F.get(listed, below + step - 1), below + step).otherwise(below),
-    )
 
+from tributary.operators.joins import own_exchange
+from tributary.session import kept_table
 
-def number_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str = "ordinal",
-    rows_per_task: int = 5_000_000,
-    max_slices: int = 4096,
-) -> DataFrame:
-    """``row_number`` per key under a total ascending ``order`` (nulls first), with hot keys split.
 
-    When the largest key fits one task, this is the plain window. Otherwise approximate quantiles
-    of the first order column cut every key into ordered slices; rows are numbered inside
-    (key, slice), and the sizes of the slices before them are added. Any cut points give the same
-    exact numbers; they only decide how evenly a hot key is spread. The driver sees one count and
-    the cut points.
+def _with_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column, name: str) -> DataFrame:
+    """``df`` with the sum of ``weight`` over the rows of the same key that come earlier in ``order`` (nulls first).
+
+    Rows are dealt into ranges of (keys, order), so a key of any size fills as many ranges as its rows
+    need, and all its rows in one range come before those in the next. Sums are taken inside
+    (key, range), and the totals of the key's ranges before are added. The dealt rows are written once,
+    so both parts see the same ranges, also after a lost executor.
     """
-    hottest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    slices = min(max_slices, -(-hottest // rows_per_task))
     by_order = [F.col(c).asc_nulls_first() for c in order]
-    if slices <= 1:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by_order)).cast("long"))
-
-    coded = df.withColumn("_code", _order_code(df, order[0]))
-    shares = [i / slices for i in range(1, slices)]
-    found = coded.agg(F.percentile_approx("_code", shares, 10 * max_slices)).first()[0]
-    cuts = sorted(set(found or []))
-    in_slice = _slice_number(F.col("_code"), cuts) if cuts else F.lit(0)
-    sliced = coded.withColumn("_slice", F.when(F.col("_code").isNull(), -1).otherwise(in_slice))
-
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*by_order)
-    numbered = sliced.withColumn("_local", F.row_number().over(inside))
-
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = totals.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_slice").alias("_s"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)],
-        F.col("_slice") == F.col("_s"),
-    )
-    joined = numbered.join(offsets, same, "left")
-    return joined.select(*df.columns, (F.col("_before") + F.col("_local")).cast("long").alias(name))
+    dealt = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *by_order)
+    dealt = kept_table(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy(*keys, "_range").orderBy(*by_order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.withColumn("_inside", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
 
+    groups = [f"_k{i}" for i in range(len(keys))]
+    totals = dealt.groupBy(*[F.col(k).alias(g) for k, g in zip(keys, groups)], F.col("_range").alias("_r")).agg(F.sum(weight).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, groups)], F.col("_range") == F.col("_r"))
+    return inside.join(offsets, same, "left").select(*df.columns, (F.col("_before") + F.col("_inside")).cast("long").alias(name))
 
-def rank_within(df: DataFrame, keys: Sequence[str], column: str, name: str = "rank", rows_per_task: int = 5_000_000) -> DataFrame:
-    """SQL ``rank`` per key by one ascending column: ties share the lowest of their row numbers."""
-    numbered = number_within(df, keys, [column], "_number", rows_per_task)
-    return group_value(numbered, [*keys, column], F.min("_number"), name).drop("_number")
+
+def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "ordinal") -> DataFrame:
+    """``row_number`` per key under a total ascending ``order`` (nulls first); a hot key is spread over many tasks."""
+    numbered = _with_before(df, keys, order, F.lit(1), "_earlier")
+    return numbered.select(*df.columns, (F.col("_earlier") + 1).alias(name))
+
+
+def rank_within(df: DataFrame, keys: Sequence[str], column: str, name: str = "rank") -> DataFrame:
+    """SQL ``rank`` per key by one ascending column (nulls first): one more than the rows of smaller values.
+
+    Ties are counted per distinct value before anything is ordered, so any number of them is one row.
+    """
+    counted = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_ties"))
+    ranked = _with_before(counted, keys, [column], F.col("_ties"), "_smaller")
+    names, groups = [*keys, column], [f"_g{i}" for i in range(len(keys) + 1)]
+    lookup = ranked.select(*[F.col(n).alias(g) for n, g in zip(names, groups)], (F.col("_smaller") + 1).alias(name))
+    return df.join(lookup, own_exchange(names, groups), "left").select(*df.columns, name)
 
 
 def match_nth(
@@ -96,15 +58,14 @@ def match_nth(
     on: Sequence[tuple[str, str]],
     order_left: Sequence[str],
     order_right: Sequence[str],
-    rows_per_task: int = 5_000_000,
 ) -> DataFrame:
     """Full join of the k-th left row with the k-th right row of the same key.
 
     The ordinal is part of the join key, so a key with many rows is spread by the shuffle itself
     and no pairs within a group are formed. Column names of the two sides must differ.
     """
-    numbered_left = number_within(left, [l for l, _ in on], order_left, "ordinal_left", rows_per_task)
-    numbered_right = number_within(right, [r for _, r in on], order_right, "ordinal_right", rows_per_task)
+    numbered_left = number_within(left, [l for l, _ in on], order_left, "ordinal_left")
+    numbered_right = number_within(right, [r for _, r in on], order_right, "ordinal_right")
     condition = reduce(
         lambda a, b: a & b,
         [F.col(l) == F.col(r) for l, r in on],

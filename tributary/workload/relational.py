@@ -256,7 +256,6 @@ def occurrence_match(t, spark):
 def occurrence_number(t, spark):
     return number_within(
         t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"],
-        rows_per_task=4,
     ).drop("o_orderdate")
 
 
