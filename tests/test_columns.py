@@ -5,7 +5,9 @@ from decimal import Decimal
 
 import pytest
 
-from tributary.functions import dates, money, text
+from pyspark.sql import functions as F
+
+from tributary.functions import dates, money, sql, text
 
 D = Decimal
 
@@ -151,3 +153,11 @@ def test_python_list_keeps_odd_bytes(spark):
     frame = spark.createDataFrame([("[{'a': 'x\\xa0y'}]",), ("[{'a': 'it\\'s', 'b': None}]",), ("[{'a': 'c:\\\\xa0'}]",)], ["t"])
     found = [r[0][0]["a"] for r in frame.select(text.python_list("t", "a string")).collect()]
     assert found == ["x\u00a0y", "it's", "c:\\xa0"]
+
+
+def test_money_is_read_alike_by_name_and_by_column(spark):
+    odd = ["(1234)", "(0,5) ", "(1.234,56)", "1.234,56", " 7,00 ", "", " ", "NaN", "x", "(", "(x,1)", "-3,10", None]
+    sql.register(spark)
+    df = spark.createDataFrame([(v,) for v in odd], "v string")
+    both = df.select(money.parse_money("v").alias("column"), F.expr("parse_financial_value(v)").alias("name"))
+    assert both.where("not (column <=> name)").count() == 0

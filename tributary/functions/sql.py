@@ -21,9 +21,10 @@ FUNCTIONS = {
     "format_nc(number STRING) RETURNS STRING": """
         CASE WHEN number IS NULL THEN ''
              WHEN right(number, 4) RLIKE '^[0-9]+$' THEN concat(left(number, 7), lpad(right(number, 4), 5, '0')) END""",
-    "parse_financial_value(value STRING) RETURNS DECIMAL(15,2)": f"""
+    "parse_financial_value(value STRING) RETURNS DECIMAL(15,2)": rf"""
         CASE WHEN value IS NULL OR trim(value) = '' OR contains(value, 'NaN') THEN CAST(0 AS DECIMAL(15,2))
-             WHEN startswith(value, '(') THEN -try_cast(trim(BOTH '()' FROM translate(value, ',.', '.')) AS DECIMAL(15,2))
+             WHEN startswith(value, '(') THEN
+                 try_cast(regexp_replace(translate(value, '.', ''), r'\(?(\d+),(\d+)\)?', '-$1.$2') AS DECIMAL(15,2))
              ELSE {_PLAIN} END""",
 }
 
