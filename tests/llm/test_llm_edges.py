@@ -161,6 +161,26 @@ def test_aligned_blocks_are_deleted_from_the_later(spark):
     assert found == {1: ("own one\n" + shared, 5, 0), 2: ("own two\ntail", 6, 4), 3: ("", 4, 4), 4: ("short", 1, 0), 5: (None, 0, 0)}
 
 
+@pytest.mark.parametrize("length, per_sequence", [(600, 1), (400, 2)])
+def test_packing_ends_when_no_pieces_fit_each_other(spark, monkeypatch, length, per_sequence):
+    kept, written = packing.kept_table, []
+
+    def counted(df, name):
+        written.append(name)
+        assert len(written) < 20, "the same rows level after level"
+        return kept(df, name)
+
+    monkeypatch.setattr(packing, "kept_table", counted)
+    pieces = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(length).cast("long").alias("length"))
+    rows = packing.pack(pieces, 1024, rows_per_group=40).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(300))
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append(r.offset)
+    assert all(sorted(o) == [length * k for k in range(len(o))] and len(o) <= per_sequence for o in by_sequence.values())
+    assert len(by_sequence) <= 1.1 * 300 / per_sequence + 1
+
+
 def test_packing_is_gapless_and_close_to_the_bound(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = packing.best_fit_pack(docs, TOKENIZER, rows_per_group=40).collect()

@@ -15,6 +15,8 @@ from tributary.llm.bpe import encoder
 from tributary.llm.wordhash import text_chunks
 from tributary.session import kept_table
 
+LEVEL_BITS = 10  # of a sequence id: the level that placed it
+SETTLED = 0.1  # least share of its pieces that a level places for good
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -78,42 +80,54 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, text
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
 
 
-def _placer(capacity: int, level: int, width: int, well_filled: float):
-    """Grouped stage: one group's pieces placed; those of sequences filled less than ``well_filled`` go again."""
+def _placer(capacity: int, level: int, width: int):
+    """Grouped stage: one group's pieces placed, with the tokens their sequence holds."""
 
     def place(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "_row"], ascending=[False, True])
         sizes = group["length"].to_numpy()
         bins, offsets = sum_of_squares(sizes, capacity)
-        filled = np.bincount(bins, weights=sizes)
-        sequence = ((bins << width | int(key[0])) << 6) + level
-        again = filled[bins] < well_filled * capacity
-        return pd.DataFrame({"_row": group["_row"], "length": sizes, "sequence_id": sequence, "offset": offsets, "again": again})
+        filled = np.bincount(bins, weights=sizes).astype(np.int64)
+        sequence = ((bins << width | int(key[0])) << LEVEL_BITS) + level
+        return pd.DataFrame({"_row": group["_row"], "length": sizes, "sequence_id": sequence, "offset": offsets, "filled": filled[bins]})
 
     return place
 
 
+def _bar(pieces_by_fill: dict[int, int], well_filled: float) -> float:
+    """``well_filled``, or the lower fill from which on ``SETTLED`` of the pieces are in sequences as full as that."""
+    settled, least = 0, SETTLED * sum(pieces_by_fill.values())
+    for filled, n in sorted(pieces_by_fill.items(), reverse=True):
+        settled += n
+        if settled >= least:
+            return min(well_filled, filled)
+    return 0
+
+
 def pack(pieces: DataFrame, capacity: int, rows_per_group: int = 50_000, well_filled: float = 0.98) -> DataFrame:
     """``pieces`` (with ``length``) plus ``sequence_id`` and ``offset``: each sequence is gapless from 0.
 
     Pieces are dealt by hash into groups of about ``rows_per_group``, one task each, however large the
     input. A group's pieces are placed from long to short. Its last few sequences stay badly filled;
     their pieces are dealt again into fewer groups and placed anew, until one group holds all of the
-    rest. A level leaves less than one such sequence per possible gap and group, so each level
-    is a small fraction of the one before. Equal rows are told apart by a number of their own.
+    rest. Pieces that do not fit each other, such as many of one length over half of ``capacity``, stay
+    badly filled wherever they are dealt; a level of which little is well filled keeps its fullest
+    sequences, with ``SETTLED`` of its pieces at least, so the levels grow with the logarithm of the rows. Equal rows are told apart by a number of their own.
     """
     numbered = kept_table(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     columns = [c for c in numbered.columns if c != "_row"]
-    schema = "_row long, length long, sequence_id long, offset long, again boolean"
+    schema = "_row long, length long, sequence_id long, offset long, filled long"
     level, rest, done = 0, numbered.select("_row", F.col("length").cast("long").alias("length")), []
     while (count := rest.count()) > 0:
         groups = -(-count // rows_per_group)
-        last = groups == 1
         width = max(1, (groups - 1).bit_length())
         dealt = rest.withColumn("g", F.pmod(F.xxhash64("_row", F.lit(level)), F.lit(groups)))
-        placed = kept_table(dealt.groupBy("g").applyInPandas(_placer(capacity, level, width, 0 if last else well_filled), schema), f"level-{level}")
-        done.append(placed.where("not again").select(F.col("_row").alias("_placed"), "sequence_id", "offset"))
-        rest = placed.where("again").select("_row", "length")
+        placed = kept_table(dealt.groupBy("g").applyInPandas(_placer(capacity, level, width), schema), f"level-{level}")
+        bar = 0
+        if groups > 1:
+            bar = _bar({r[0]: r[1] for r in placed.groupBy("filled").count().collect()}, well_filled * capacity)
+        done.append(placed.where(F.col("filled") >= bar).select(F.col("_row").alias("_placed"), "sequence_id", "offset"))
+        rest = placed.where(F.col("filled") < bar).select("_row", "length")
         level += 1
     if not done:
         return numbered.select(*columns, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
