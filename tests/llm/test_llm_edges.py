@@ -161,6 +161,37 @@ def test_aligned_blocks_are_deleted_from_the_later(spark):
     assert found == {1: ("own one\n" + shared, 5, 0), 2: ("own two\ntail", 6, 4), 3: ("", 4, 4), 4: ("short", 1, 0), 5: (None, 0, 0)}
 
 
+def removed(spark, *texts):
+    frame = spark.createDataFrame(list(enumerate("\n".join(t) for t in texts)), "doc_id long, text string")
+    return {r.doc_id: r.text.split("\n") for r in linealign.drop_aligned_blocks(frame).collect()}
+
+
+def test_passage_whose_lines_first_occur_singly(spark):
+    p, q = "p" * 60, "q" * 60
+    short = [f"short line {i}" for i in range(12)]
+    docs = [[p, "a"], [q, "b"], ["c", p, q], [p, q, "d"], [*short, "e"], ["f", *short]]
+    found = removed(spark, *docs)
+    assert [found[i] for i in range(6)] == [*docs[:3], ["d"], docs[4], ["f"]]
+
+
+def test_runs_against_brute_force():
+    draw = np.random.default_rng(3)
+    docs = [draw.integers(0, 4, draw.integers(0, 30)) for _ in range(60)]
+    size = np.array([0, 3, 5, 9])
+    first, last, hashes = linealign.runs(np.concatenate(docs), size[np.concatenate(docs)], np.cumsum([len(d) for d in docs]), 10)
+    flat, expected, start = np.concatenate(docs), set(), 0
+    for d in docs:
+        n = size[d]
+        for i in range(len(d)):
+            down = [j for j in range(i, len(d)) if n[i : j + 1].sum() >= 10][:1] if n[i] else []
+            up = [j for j in range(i, -1, -1) if n[j : i + 1].sum() >= 10][:1] if n[i] else []
+            expected |= {(start + i, start + j) for j in down} | {(start + j, start + i) for j in up}
+        start += len(d)
+    assert sorted(zip(first.tolist(), last.tolist())) == sorted(expected)
+    lines = [tuple(flat[i : j + 1]) for i, j in zip(first, last)]
+    assert len(set(lines)) == len(set(hashes.tolist())) == len(set(zip(lines, hashes.tolist())))
+
+
 @pytest.mark.parametrize("length, per_sequence", [(600, 1), (400, 2)])
 def test_packing_ends_when_no_pieces_fit_each_other(spark, monkeypatch, length, per_sequence):
     kept, written = packing.kept_table, []

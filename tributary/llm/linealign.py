@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tributary.session import kept_table
 
+RUNS = "id long, h long, run long"
+BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 SPANS = "id long, h long, from_line int, to_line int"
 
 
@@ -32,6 +34,55 @@ def _rising(places: list[int]) -> list[int]:
     return found[::-1]
 
 
+def runs(lines: np.ndarray, lengths: np.ndarray, ends: np.ndarray, least_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, last line and hash of the shortest runs of ``least_chars``: from every line on, and up to every line.
+
+    ``lines`` and ``lengths`` are those of several documents after each other, which end at ``ends``; no run
+    crosses an end. Runs begin and end with a line that is not blank. Any longer passage is covered by its runs
+    of this kind, so two documents share a passage when they share runs, and then share all that cover it.
+    """
+    n = len(lines)
+    starts = np.concatenate(([0], ends[:-1]))
+    of = np.repeat(np.arange(len(ends)), ends - starts)
+    chars = np.concatenate(([0], np.cumsum(lengths)))
+    at = np.flatnonzero(lengths > 0)
+    last = np.searchsorted(chars, chars[at] + least_chars) - 1  # the first line with which the sum is reached
+    down = last < ends[of[at]]
+    first = np.searchsorted(chars, chars[at + 1] - least_chars, side="right") - 1  # the last line from which on it is
+    up = first >= starts[of[at]]
+    first, last = np.concatenate((at[down], first[up])), np.concatenate((last[down], at[up]))
+    both = np.unique(first * (n + 1) + last)
+    first, last = both // (n + 1), both % (n + 1)
+    powers = np.full(n + 1, BASE)
+    powers[:1] = 1
+    inverse = np.full(n + 1, pow(int(BASE), -1, 1 << 64), dtype=np.uint64)
+    inverse[:1] = 1
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(lines.view(np.uint64) * np.multiply.accumulate(powers)[:n])))
+    return first, last, (sums[last + 1] - sums[first]) * np.multiply.accumulate(inverse)[first]
+
+
+def _run_hashes(least_chars: int):
+    """Arrow stage: the distinct runs of every document."""
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = lambda c: batch.column(c).flatten().to_numpy()
+            ends = np.cumsum(batch.column("lines").value_lengths().to_numpy())
+            first, _, hashes = runs(flat("lines"), flat("lengths").astype(np.int64), ends, least_chars)
+            of = np.searchsorted(ends, first, side="right")
+            order = np.lexsort((hashes, of))
+            of, hashes = of[order], hashes[order]
+            new = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])))) if len(of) else order
+            of = pa.array(of[new])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(of), batch.column("h").take(of), pa.array(hashes[new].view(np.int64))], names=["id", "h", "run"]
+            )
+
+    return stage
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned pairs (place in a, place in b) of equal lines, rising in both.
 
@@ -92,13 +143,15 @@ def _align(least_chars: int):
 
 
 def drop_aligned_blocks(
-    df: DataFrame, least_chars: int = 100, anchor_chars: int = 20, text: str = "text", doc_id: str = "doc_id", broadcast_rows: int = 200_000
+    df: DataFrame, least_chars: int = 100, text: str = "text", doc_id: str = "doc_id", broadcast_rows: int = 200_000
 ) -> DataFrame:
     """``df`` with the text freed of blocks that an earlier document has, plus n_lines and n_removed.
 
-    A document is looked at beside every earlier one that is the first holder of one of its lines of
-    ``anchor_chars`` or more; earlier means a smaller id. So a line that thousands share makes
-    one pair per document and none among them, and no line is too frequent to be followed. The pair's
+    A document is looked at beside every earlier one that is the first holder of one of its runs: the shortest
+    consecutive lines of ``least_chars`` characters or more, from each line on and up to each line (``runs``);
+    earlier means a smaller id. Short lines count like long ones. So a passage that thousands share makes
+    one pair per document and none among them, and no run is too frequent to be followed; and every passage of
+    that length is found, whichever earlier documents hold it. The pair's
     lines are aligned by patience diff, and aligned runs of lines with ``least_chars`` characters or more
     are deleted from the later document. Lines are compared without blanks at their ends.
 
@@ -113,12 +166,11 @@ def drop_aligned_blocks(
         F.transform("parts", lambda x: F.length(x)).alias("lengths"),
     )
     documents = kept_table(documents, "lines")
-    held = documents.select(F.struct("id", "h").alias("doc"), F.explode(F.arrays_zip("lines", "lengths")).alias("x"))
-    held = held.where(F.col("x.lengths") >= anchor_chars).select("doc", F.col("x.lines").alias("line"))
-    firsts = held.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last")
-    firsts = firsts.select(F.struct(F.col("line").alias("l")).alias("line_key"), "first")
+    held = documents.mapInArrow(_run_hashes(least_chars), RUNS).select(F.struct("id", "h").alias("doc"), "run")
+    firsts = held.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last")
+    firsts = firsts.select(F.struct(F.col("run").alias("r")).alias("run_key"), "first")
     pairs = (
-        held.join(firsts, F.struct(F.col("line").alias("l")) == F.col("line_key"))
+        held.join(firsts, F.struct(F.col("run").alias("r")) == F.col("run_key"))
         .where("doc != first").select(F.col("doc").alias("later"), "first").distinct()
     )
     pairs = kept_table(pairs, "line-pairs")
