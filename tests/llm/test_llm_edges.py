@@ -174,6 +174,26 @@ def test_passage_whose_lines_first_occur_singly(spark):
     assert [found[i] for i in range(6)] == [*docs[:3], ["d"], docs[4], ["f"]]
 
 
+def test_passage_twice_on_a_side_or_in_another_order(spark):
+    p, q = [f"passage p, line {i} of a few" * 2 for i in range(4)], [f"passage q, line {i} of a few" * 2 for i in range(4)]
+    docs = [[*p, "x", *p], ["a", *p, "b"], ["c", *p, "d", *p, "e"], [*p, "f", *q], [*q, "g"], ["h", *q, "i", *p, "j"]]
+    found = removed(spark, *docs)
+    assert [found[i] for i in range(6)] == [docs[0], ["a", "b"], ["c", "d", "e"], ["f", *q], ["g"], ["h", "i", "j"]]
+
+
+def test_blocks_against_brute_force():
+    draw = np.random.default_rng(4)
+    size = [0, 3, 5, 9, 4]
+    for _ in range(400):
+        a, b = ([int(x) for x in draw.integers(1, 5, draw.integers(0, 14))] for _ in range(2))
+        expected = set()
+        for i in range(len(b)):
+            for j in range(i + 1, len(b) + 1):
+                if sum(size[x] for x in b[i:j]) >= 12 and any(a[k : k + j - i] == b[i:j] for k in range(len(a))):
+                    expected |= set(range(i, j))
+        assert {k for p, q in linealign.common_blocks(a, b, [size[x] for x in b], 12) for k in range(p, q)} == expected
+
+
 def test_runs_against_brute_force():
     draw = np.random.default_rng(3)
     docs = [draw.integers(0, 4, draw.integers(0, 30)) for _ in range(60)]

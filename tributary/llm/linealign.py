@@ -87,7 +87,8 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned pairs (place in a, place in b) of equal lines, rising in both.
 
     Lines at both ends that agree are taken; between them the lines that occur once on either side are
-    put into their longest common order, and the gaps between them are aligned in the same way.
+    put into their longest common order, and the gaps between them are aligned in the same way. A gap
+    without such lines is left; ``common_blocks`` looks its runs up.
     """
     pairs: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
@@ -113,8 +114,29 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def _left_over(a: list[int], b: list[int], lengths: list[int], blocks: list[tuple[int, int]], least_chars: int) -> bool:
+    """Whether consecutive lines of ``b`` that ``a`` holds have ``least_chars`` and are not all in ``blocks``."""
+    held, gone = set(a), np.zeros(len(b), dtype=bool)
+    for p, q in blocks:
+        gone[p:q] = True
+    chars, covered = 0, True
+    for x, n, g in zip(b, lengths, gone.tolist()):
+        if x not in held:
+            chars, covered = 0, True
+            continue
+        chars += n
+        covered &= g or not n
+        if chars >= least_chars and not covered:
+            return True
+    return False
+
+
 def common_blocks(a: list[int], b: list[int], lengths: list[int], least_chars: int) -> list[tuple[int, int]]:
-    """Runs of lines of ``b`` that are aligned with a run of ``a`` and have ``least_chars`` in all. Blank lines (0) bridge but do not count."""
+    """Runs of lines of ``b`` that ``a`` holds as a run too and that have ``least_chars`` in all. Blank lines (0) bridge but do not count.
+
+    First those that patience diff aligns. A passage that ``a`` or ``b`` holds twice, or that stands in another
+    order, has no place there; where lines are left over, every run of ``b`` is looked up among those of ``a``.
+    """
     blocks, run = [], []
     for pair in [*patience(a, b), (-9, -9)]:
         if run and pair != (run[-1][0] + 1, run[-1][1] + 1):
@@ -122,7 +144,23 @@ def common_blocks(a: list[int], b: list[int], lengths: list[int], least_chars: i
                 blocks.append((run[0][1], run[-1][1] + 1))
             run = []
         run.append(pair)
-    return blocks
+    if not _left_over(a, b, lengths, blocks, least_chars):
+        return blocks
+    of_line = dict(zip(b, lengths))
+    both = np.array([*a, *b], dtype=np.int64)
+    # A line that only a has equals none of b, so its length does not matter as long as it is not blank.
+    first, last, hashes = runs(both, np.array([*(of_line.get(x, 1) for x in a), *lengths], dtype=np.int64), np.array([len(a), len(both)]), least_chars)
+    in_b = first >= len(a)
+    found = np.flatnonzero(in_b)[np.isin(hashes[in_b], hashes[~in_b])]
+    edges = np.zeros(len(b) + 1, dtype=np.int64)
+    np.add.at(edges, first[found] - len(a), 1)
+    np.add.at(edges, last[found] - len(a) + 1, -1)
+    for p, q in blocks:
+        edges[p] += 1
+        edges[q] -= 1
+    gone = np.concatenate(([0], (np.cumsum(edges)[:-1] > 0).astype(np.int64), [0]))
+    turns = np.flatnonzero(np.diff(gone))
+    return list(zip(turns[::2].tolist(), turns[1::2].tolist()))
 
 
 def _align(least_chars: int):
@@ -152,7 +190,8 @@ def drop_aligned_blocks(
     earlier means a smaller id. Short lines count like long ones. So a passage that thousands share makes
     one pair per document and none among them, and no run is too frequent to be followed; and every passage of
     that length is found, whichever earlier documents hold it. The pair's
-    lines are aligned by patience diff, and aligned runs of lines with ``least_chars`` characters or more
+    lines are aligned by patience diff, what is left is looked up by runs (passages that occur twice on a side or
+    in another order), and the runs of lines with ``least_chars`` characters or more
     are deleted from the later document. Lines are compared without blanks at their ends.
 
     Null text stays null, with no lines. A null id is smaller than any. Rows with the same id and text are
