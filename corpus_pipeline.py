@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tributary.llm import bayes_minhash, exact, mixing, packing, toxicity
 from tributary.llm.common import table
@@ -31,8 +32,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all documents with their places in sequences of 1024 tokens."""
-    return packing.best_fit_pack(docs, TOKENIZER)
+    """The token pieces of all documents with their places in sequences of 1024 tokens, which follow the mix."""
+    return packing.best_fit_pack(docs, TOKENIZER, place=F.col("mix_slot") * MIX_BLOCK + F.col("mix_place"))
 
 
 STAGES = [("toxicity", clean), ("exact dedup", exact_copies), ("near dedup", near_copies), ("source mix", mix), ("packing", pack)]

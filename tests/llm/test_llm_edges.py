@@ -232,6 +232,22 @@ def test_packing_ends_when_no_pieces_fit_each_other(spark, monkeypatch, length,
     assert len(by_sequence) <= 1.1 * 300 / per_sequence + 1
 
 
+def test_packed_sequences_follow_the_mix(spark):
+    draw = np.random.default_rng(5)
+    places = draw.permutation(1200)
+    rows = [(i, 0, int(n), int(p)) for i, (n, p) in enumerate(zip(draw.integers(20, 600, 1200), places))]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, length long, place long")
+    sequences = {}
+    for r in packing.pack(pieces, 1024, rows_per_group=100, ordered=True).collect():
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length, r.place))
+    assert sorted(p for s in sequences.values() for _, _, p in s) == list(range(1200))
+    for number, s in sequences.items():
+        s.sort()
+        assert [o for o, _, _ in s] == [0, *np.cumsum([n for _, n, _ in s])[:-1]] and sum(n for _, n, _ in s) <= 1024
+        assert [p for _, _, p in s] == sorted(p for _, _, p in s) and number >> packing.PIECE_BITS == s[0][2]
+    assert np.median([s[-1][2] - s[0][2] for s in sequences.values()]) < 150
+
+
 def test_packing_is_gapless_and_close_to_the_bound(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = packing.best_fit_pack(docs, TOKENIZER, rows_per_group=40).collect()

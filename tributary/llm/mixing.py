@@ -124,7 +124,10 @@ def mix_sources(
 
 
 def mixed_order(df: DataFrame, weights: Mapping[str, int], other_weight: int, block_rows: int = 64, **names: str) -> DataFrame:
-    """The rows of ``df``, same columns, laid out in the order of the mix: across partitions by range, sorted within."""
+    """The rows of ``df`` plus mix_slot and mix_place, laid out in the order of the mix: across partitions by range, sorted within.
+
+    The two columns keep the order, since files that a table is read from again have none among them.
+    """
     mixed = kept_table(mix_sources(df, weights, other_weight, block_rows, **names), "mixed")
     ordered = mixed.repartitionByRange("mix_slot", "mix_place").sortWithinPartitions("mix_slot", "mix_place")
-    return ordered.select(*[F.col(f"`{c}`") for c in df.columns])
+    return ordered.select(*[F.col(f"`{c}`") for c in df.columns], "mix_slot", "mix_place")
