@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tributary.llm import bayes_minhash, exact, lattice, linealign, mixing, packing, pitman_yor, token_files, toxicity, warc
-from tributary.llm.common import table
+from tributary.llm import bayes_minhash, exact, lattice, linealign, mixing, packing, pitman_yor, token_files, toxicity, trie, warc
+from tributary.llm.common import crc_remainder, table
+from tributary.session import kept_table
 from tributary.workload.query import Query
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -144,6 +145,48 @@ FROM sets JOIN (SELECT node, min(low) AS low FROM reach GROUP BY node) ON doc_id
 """
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = kept_table(trie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    rebuilt, conversations = trie.shared_heads(turns, base, crc_remainder(F.col("conv_id"), 9), 8)
+    return trie.prefix_trie(rebuilt, conversations)
+
+
+# crc32 of a decimal: one step per byte, of eight shifts each.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295)"""
+OP13_SQL = f"""
+WITH ordered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, {_CRC32.format(text="conv_id::VARCHAR")} % 9 AS h FROM ordered),
+parts AS (
+  SELECT convs.conv_id, 0 AS part, pos, role, text FROM convs JOIN ordered o ON o.conv_id = convs.conv_id - convs.conv_id % 5 WHERE pos <= h
+  UNION ALL
+  SELECT convs.conv_id, 1, pos, role, text FROM convs JOIN ordered USING (conv_id) WHERE pos > h),
+rebuilt AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth FROM parts),
+keyed AS (
+  SELECT conv_id, depth, octet_length(encode(text)) AS n, sha256(list(role || chr(1) || text) OVER w :: VARCHAR) AS k,
+         count(*) OVER (PARTITION BY conv_id) AS len FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+  UNION ALL
+  SELECT convs.conv_id, 0, 0, '', (SELECT count(*) FROM parts WHERE parts.conv_id = convs.conv_id) FROM convs),
+nodes AS MATERIALIZED (
+  SELECT min(conv_id) AS conv_id, depth, k, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+         sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = len), '')) AS ends_sha256
+  FROM keyed GROUP BY depth, k),
+above AS MATERIALIZED (
+  SELECT nodes.k AS below, nodes.depth AS d, nodes.saved, upper.k, upper.depth, upper.conv_id
+  FROM nodes JOIN keyed USING (conv_id) JOIN nodes upper ON upper.depth = keyed.depth AND upper.k = keyed.k WHERE upper.depth <= nodes.depth),
+parents AS (SELECT below, d, conv_id AS parent_conv_id, k, depth FROM above WHERE depth = d - 1),
+kids AS (SELECT k, depth, count(*) AS n_children FROM parents GROUP BY ALL)
+SELECT nodes.conv_id, nodes.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM nodes LEFT JOIN parents ON below = nodes.k AND d = nodes.depth LEFT JOIN kids ON kids.k = nodes.k AND kids.depth = nodes.depth
+JOIN (SELECT above.k, above.depth, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (kids.k IS NULL) AS n_leaves
+      FROM above LEFT JOIN kids ON kids.k = below AND kids.depth = d GROUP BY ALL) t ON t.k = nodes.k AND t.depth = nodes.depth
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -161,5 +204,6 @@ QUERIES = {
     "op8_bloom_exact": Query(op8, OP8_SQL),
     "op9_token_frames": Query(op9),
     "op10_bayes_minhash": Query(op10, OP10_SQL),
+    "op13_prefix_trie": Query(op13, OP13_SQL),
     "pipeline": Query(pipeline),
 }
