@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tributary.llm import bayes_minhash, exact, lattice, linealign, mixing, packing, pitman_yor, token_files, toxicity, trie, warc
+from tributary.llm import bayes_minhash, exact, lattice, linealign, mixing, packing, pitman_yor, token_files, toxicity, trie, variants, warc
 from tributary.llm.common import crc_remainder, table
 from tributary.session import kept_table
 from tributary.workload.query import Query
@@ -145,6 +145,10 @@ FROM sets JOIN (SELECT node, min(low) AS low FROM reach GROUP BY node) ON doc_id
 """
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(variants.vocabulary(table(spark, sf_dir, "documents"), slip_every=199))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = kept_table(trie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
     base = F.col("conv_id") - F.col("conv_id") % 5
@@ -204,6 +208,7 @@ QUERIES = {
     "op8_bloom_exact": Query(op8, OP8_SQL),
     "op9_token_frames": Query(op9),
     "op10_bayes_minhash": Query(op10, OP10_SQL),
+    "op11_fm_variants": Query(op11),
     "op13_prefix_trie": Query(op13, OP13_SQL),
     "pipeline": Query(pipeline),
 }
