@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tributary.llm import bayes_minhash, exact, lattice, linealign, mixing, packing, pitman_yor, token_files, toxicity, trie, variants, warc
+from tributary.llm import bayes_minhash, exact, lattice, linealign, mixing, packing, pitman_yor, token_files, toxicity, trie, urltree, variants, warc
 from tributary.llm.common import crc_remainder, table
 from tributary.session import kept_table
 from tributary.workload.query import Query
@@ -149,6 +149,79 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(variants.vocabulary(table(spark, sf_dir, "documents"), slip_every=199))
 
 
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+URL_DEPTH = 6
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, URL_DEPTH)
+
+
+def _url_sql() -> str:
+    """The template tree level by level, all levels written out."""
+    def sums(of: str) -> str:
+        return ", ".join(f"sum({of}{c})::BIGINT AS {c}" for c in urltree.COUNTS)
+
+    rest = ", ".join(f"sum({c}) OVER w - {c} AS r_{c}" for c in urltree.COUNTS)
+    labels = """CASE WHEN (blocked + allowed) * (r_blocked + r_allowed) * (blocked + r_blocked) * (allowed + r_allowed) > 0
+      THEN (blocked + allowed + r_blocked + r_allowed)::DOUBLE * (blocked * r_allowed - allowed * r_blocked) ** 2
+           / ((blocked + allowed)::DOUBLE * (r_blocked + r_allowed) * (blocked + r_blocked) * (allowed + r_allowed)) ELSE 0 END"""
+    terms = " + ".join(f"CASE WHEN s{i} + r_s{i} > 0 THEN (s{i} * r_n - r_s{i} * n)::DOUBLE ** 2 / (s{i} + r_s{i}) ELSE 0 END" for i in range(4))
+    following = f"CASE WHEN r_n > 0 THEN ({terms}) / (n::DOUBLE * r_n) ELSE 0 END"
+    lean = "greatest(" + ", ".join(f"s{i} * r_n - r_s{i} * n" for i in range(4)) + ")"
+    most = "CASE " + " ".join(f"WHEN s{i} * r_n - r_s{i} * n = {lean} THEN '{i}'" for i in (3, 2, 1, 0)) + " END"
+
+    def token(level: int) -> str:
+        if level > URL_DEPTH:
+            return "NULL::VARCHAR"
+        return f"parts[{level + 1}]" if level < URL_DEPTH else f"CASE WHEN len(parts) > {level} THEN array_to_string(parts[{level + 1}:], '/') END"
+
+    ends = r"'[.][A-Za-z]{1,5}$'"
+    fits = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{'rule': '{h}{p}', 'blocked': {v == 'block'}}}"
+        for v, h, p in sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    )
+    steps = [f"""
+WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+urls AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+ruled AS (SELECT *, CASE {fits} END AS f FROM urls),
+rows0 AS (SELECT page_id, host, path, f.rule AS rule, f.blocked AS b, '' AS prefix, string_split(path, '/') AS parts FROM ruled)"""]
+    for i in range(1, URL_DEPTH + 1):
+        steps.append(f"""
+marked{i} AS (SELECT *, {token(i)} AS token, {token(i + 1)} AS following FROM rows{i - 1}),
+tokens{i} AS (
+  SELECT host, prefix, token, count(*) AS n, count(*) FILTER (b) AS blocked, count(*) FILTER (NOT b) AS allowed,
+    count(*) FILTER (following IS NULL) AS s0, count(*) FILTER (regexp_matches(following, '^[0-9]')) AS s1,
+    count(*) FILTER (regexp_matches(following, '^[A-Za-z]')) AS s2, count(*) FILTER (NOT regexp_matches(following, '^[0-9A-Za-z]')) AS s3,
+    regexp_replace(token, {ends}, '') AS stem, regexp_extract(token, {ends}) AS tail
+  FROM marked{i} WHERE token IS NOT NULL GROUP BY host, prefix, token),
+shaped{i} AS (
+  SELECT *, CASE WHEN stem = '' THEN '' WHEN regexp_full_match(stem, '[0-9]+') THEN '{{0}}'
+    WHEN regexp_full_match(stem, '[0-9A-Fa-f-]{{8,}}') AND regexp_matches(stem, '[0-9]') THEN '{{x}}'
+    WHEN regexp_full_match(stem, '[A-Za-z]+') THEN '{{a}}' ELSE '{{s}}' END || tail AS shape FROM tokens{i}),
+general{i} AS MATERIALIZED (
+  SELECT *, CASE WHEN d = 1 OR (d <= 32 AND m >= 4 * d) OR (n >= 8 AND n * d >= 4 * m) THEN token ELSE shape END AS branch
+  FROM (SELECT *, count(*) OVER (PARTITION BY host, prefix, shape) AS d, sum(n) OVER (PARTITION BY host, prefix, shape) AS m FROM shaped{i})),
+branches{i} AS (SELECT host, prefix, branch, {sums('')} FROM general{i} GROUP BY ALL),
+judged{i} AS (SELECT *, {rest} FROM branches{i} WINDOW w AS (PARTITION BY host, prefix)),
+sided{i} AS (SELECT host, prefix, branch, {", ".join(urltree.COUNTS)},
+  CASE WHEN blocked + allowed = 0 THEN '?' WHEN {labels} <= {urltree.CHI_LABELS} THEN '' WHEN blocked * r_allowed > allowed * r_blocked THEN '+' ELSE '-' END
+  || CASE WHEN {following} <= {urltree.CHI_NEXT} THEN '' ELSE {most} END AS side FROM judged{i}),
+again{i} AS (SELECT *, {rest} FROM sided{i} WINDOW w AS (PARTITION BY host, prefix, side)),
+names{i} AS (SELECT host, prefix, token, CASE WHEN r_n > 0 AND {labels} <= {urltree.CHI_LABELS} AND {following} <= {urltree.CHI_NEXT} THEN '*' || side ELSE branch END AS name
+  FROM (SELECT host, prefix, token, branch FROM general{i}) JOIN again{i} USING (host, prefix, branch)),
+rows{i} AS MATERIALIZED (SELECT page_id, host, path, rule, b, prefix || coalesce('/' || name, '') AS prefix, parts FROM marked{i} LEFT JOIN names{i} USING (host, prefix, token))""")
+    return ",".join(steps) + f"""
+SELECT page_id, host, path, rule, CASE WHEN coalesce(b, purity >= 0.7) THEN 'block' ELSE 'allow' END AS verdict, prefix AS template, purity
+FROM (SELECT *, (count(*) FILTER (b) OVER t + 4.0::DOUBLE * base) / (count(b) OVER t + 4.0::DOUBLE) AS purity
+      FROM rows{URL_DEPTH}, (SELECT coalesce(count(*) FILTER (b) / nullif(count(b), 0)::DOUBLE, 0) AS base FROM rows0)
+      WINDOW t AS (PARTITION BY host, prefix))
+"""
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = kept_table(trie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
     base = F.col("conv_id") - F.col("conv_id") % 5
@@ -209,6 +282,7 @@ QUERIES = {
     "op9_token_frames": Query(op9),
     "op10_bayes_minhash": Query(op10, OP10_SQL),
     "op11_fm_variants": Query(op11),
+    "op12_path_templates": Query(op12, _url_sql()),
     "op13_prefix_trie": Query(op13, OP13_SQL),
     "pipeline": Query(pipeline),
 }
