@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def sql():
     connection = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "labels"):
+    for name in ("documents", "embeddings", "pages", "labels", "conversations"):
         connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return connection
 
