@@ -160,6 +160,20 @@ def test_tree_paths(spark, rows):
         ("1", 2, "ROOT-000ab"), ("2", 3, "ROOT-000ab-abcde"), ("3", 2, None), ("7", 1, "ROOT")]
 
 
+def test_tree_depth_costs_its_logarithm(spark, monkeypatch):
+    """A chain of 5,000 nodes beside a loop that hangs on nothing: 14 rounds at most, all paths right."""
+    from tributary.operators import tree
+
+    rounds = []
+    monkeypatch.setattr(tree, "kept_table", lambda df, name, keep=tree.kept_table: rounds.append(name) or keep(df, name))
+    nodes = spark.range(5003).selectExpr(
+        "id AS code", "CASE id WHEN 0 THEN NULL WHEN 5000 THEN 5002 WHEN 5001 THEN 5000 WHEN 5002 THEN 5001 ELSE id - 1 END AS parent", "'x' AS label", "'kept' AS other")
+    paths = tree_paths(nodes, "code", "parent", "label", F.col("code") == 0, width=1)
+    assert paths.columns == ["code", "parent", "label", "other", "depth", "path"]
+    assert {(r.code, r.depth, r.path) for r in paths.collect()} == {(i, i + 1, "-".join("x" * (i + 1))) for i in range(5000)}
+    assert rounds.count("tree") <= 14
+
+
 def test_tree_cycle_is_reported(spark):
     rooted = spark.createDataFrame([("7", "1", "a"), ("1", "7", "b")], "code string, parent string, label string")
     assert tree_paths(rooted, "code", "parent", "label", F.col("code") == "7").count() == 2  # a root's parent is ignored

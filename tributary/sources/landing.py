@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.operators.refusals import REASON, Sifted, sift
+from tributary.sources.discovery import CORRUPT, parsed_json, variant_path
+
 SEPARATOR = "__"
 
 
@@ -33,10 +36,38 @@ def stamp(df: DataFrame, at: Column | None = None) -> DataFrame:
 
 
 def land_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Landed JSON files, with a declared schema, as a flat stamped table."""
+    """Landed JSON files, with a declared schema, as a flat stamped table.
+
+    One pass; keys that the schema does not declare are left out. ``land_json_records`` finds them.
+    """
     return stamp(flatten(spark.read.schema(schema).json(path)))
 
 
+def land_json_records(spark: SparkSession, path: str, schema: T.StructType | str = "") -> Sifted:
+    """Landed JSON files, a record per line, as a flat stamped table with every key that any record brings.
+
+    Declared fields come first, with their types; all others follow as text, by name, nested ones as ``a__b``
+    and lists as JSON text. So a key that one record in a thousand brings gets its column. A first pass over the files finds the
+    keys, the second parses each record once. Lines that hold no object are refused as they are; blank lines are nothing.
+    Keys that differ in case alone share a column; the first one with a value fills it.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) and schema else schema or T.StructType()
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed, same = parsed_json(lines, "value", declared)
+    # A line that is no object either fails to parse or, as a list or a bare value, gives a record without any field.
+    broken = F.col(f"_r.{CORRUPT}").isNotNull() | F.col("_r").isNull() | ~F.ltrim("value").startswith("{")
+    kept_text = F.col("value") if same else F.when(broken, F.col("value"))
+    sifted = sift(parsed.select("_r", kept_text.alias("value")), {"not a JSON object": broken})
+    fields = [f.name for f in parsed.schema["_r"].dataType.fields if f.name != CORRUPT]
+    document = F.try_parse_json("value")
+    others = [(own, F.coalesce(*[F.try_variant_get(document, variant_path(o), "string") for o in more])) for own, more in same.items()]
+    flat = flatten(sifted.accepted.select(*[F.col("_r")[f].alias(f) for f in fields], *[c.alias(f"_twin_{i}") for i, (_, c) in enumerate(others)]))
+    for i, (own, _) in enumerate(others):
+        name = SEPARATOR.join(own).lower()
+        flat = flat.withColumn(name, F.coalesce(F.col(f"`{name}`"), F.col(f"_twin_{i}"))).drop(f"_twin_{i}")
+    return Sifted(stamp(flat), sifted.refused.select("value", REASON), sifted.counts)
+
+
 def children(df: DataFrame, array: str, parent_fields: list[str]) -> DataFrame:
     """One row per element of a nested array, parent fields first, then the fields of the element.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.text import Colish, as_col
 from tributary.operators.keyed import keep_one
+from tributary.sources.discovery import map_keys_found
 
 
 def plain_tags(c: Colish) -> Column:
@@ -31,25 +32,63 @@ def _lowered(record: str, fields: Sequence[str]) -> list[Column]:
 
 
 def _elements(xml: Colish, tag: str) -> Column:
-    """Each whole element of that name, at any depth of the body, in document order."""
+    """Each whole element of that name, at any depth of the body, in document order.
+
+    Without elements of the name inside each other one pattern finds them. Else the body is cut at the tags of that name,
+    and a fold over the pieces matches each closing tag with the last open one.
+    """
     attributes = r"(?:\s(?:[^>/]|/(?!>))*+)?"  # may hold a slash, but not that of a self-closed element
     pattern = rf"(?s)<{tag}{attributes}(?:/>|>.*?</{tag}>)"
-    return F.regexp_extract_all(_body(xml), F.lit(pattern), 0)
-
-
-def records(df: DataFrame, xml: str, tag: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    flat = F.regexp_extract_all(_body(xml), F.lit(pattern), 0)
+    inner = F.exists(flat, lambda e: F.substring(e, 2, 1 << 30).rlike(rf"<{tag}[\s>]"))
+    pieces = F.regexp_extract_all(_body(xml), F.lit(rf"<{tag}{attributes}/?>|</{tag}>|[^<]++|<"), 0)
+    span = "array<struct<first: int, last: int>>"
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("open"), F.array().cast(span).alias("done"))
+
+    def step(state: Column, piece: Column) -> Column:
+        at, opened, done = state["at"] + 1, state["open"], state["done"]
+        alone, opens = piece.rlike(rf"(?s)^<{tag}.*/>$"), piece.rlike(rf"^<{tag}[\s>]")
+        closes = (piece == f"</{tag}>") & (F.size(opened) > 0)
+        found = lambda first: F.array_append(done, F.struct(first.alias("first"), at.alias("last")))
+        return F.struct(
+            at.alias("at"),
+            F.when(closes, F.slice(opened, 1, F.size(opened) - 1)).when(opens & ~alone, F.array_append(opened, at)).otherwise(opened).alias("open"),
+            F.when(closes, found(F.element_at(opened, -1))).when(alone, found(at)).otherwise(done).alias("done"),
+        )
+
+    spans = F.array_sort(F.aggregate(pieces, start, step)["done"])
+    nested = F.transform(spans, lambda s: F.array_join(F.slice(pieces, s["first"], s["last"] - s["first"] + 1), ""))
+    return F.when(inner, nested).otherwise(flat)
+
+
+def records(df: DataFrame, xml: str, tag: str, fields: Sequence[str], keep: Sequence[str] = (), undeclared: bool = False) -> DataFrame:
     """One row per repeated element, with ``pos`` as its place in the response.
 
-    Child elements not among ``fields`` (nested lists, for instance) are ignored. A response
-    without a body gives no rows.
+    A response without a body gives no rows. Child elements not among ``fields`` are left out, or with ``undeclared`` become
+    text columns after them, by name: all children that any element has, found by a pass over the responses.
+    Of a repeated undeclared child the last stays, and one that has children itself gives the text before them.
     """
     exploded = df.select(*keep, F.posexplode(_elements(xml, tag)).alias("pos", "_xml"))
+    if undeclared:
+        wrapped = F.concat(F.lit("<r>"), "_xml", F.lit("</r>"))
+        exploded = exploded.withColumn("_all", F.from_xml(wrapped, f"`{tag}` map<string, string>", {"excludeAttribute": "true"})[tag])
     parsed = exploded.withColumn("_r", F.from_xml("_xml", _ddl(fields)))
-    return parsed.select(*keep, "pos", *_lowered("_r", fields))
+    found = map_keys_found(exploded, F.col("_all"), fields) if undeclared else []
+    return parsed.select(*keep, "pos", *_lowered("_r", fields), *[_own_text(F.col("_all")[f]).alias(f.lower()) for f in found])
 
 
-def flat_record(df: DataFrame, xml: str, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """One row per response from all its leaf tags; of a repeated tag the last non-blank text stays."""
+def _own_text(c: Column) -> Column:
+    """Text of an element before its first child; a lone ``<`` is text."""
+    child = r"(?s)^([^<]*)<([\w.-]+)(?:\s[^>]*)?(?:/>|>.*</\2>).*$"
+    return F.trim(F.regexp_replace(c, child, "$1"))
+
+
+def flat_record(df: DataFrame, xml: str, fields: Sequence[str], keep: Sequence[str] = (), undeclared: bool = False) -> DataFrame:
+    """One row per response from all its leaf tags; of a repeated tag the last non-blank text stays.
+
+    With ``undeclared`` the leaves that are not among ``fields`` become text columns after them, by name. They are the union
+    over all responses, found by a pass over them.
+    """
     leaf = r"(?s)<([\w.-]+)(?:\s[^>]*)?>((?:<!\[CDATA\[.*?\]\]>|[^<])*+)</\1>"
     body = df.select(*keep, _body(xml).alias("_b")).where("_b is not null")
     leaves = body.select(
@@ -59,12 +98,14 @@ def flat_record(df: DataFrame, xml: str, fields: Sequence[str], keep: Sequence[s
             F.regexp_extract_all("_b", F.lit(leaf), 2).alias("text"),
         ).alias("_leaves"),
     )
+    filled = F.array_distinct(F.transform(F.filter("_leaves", lambda x: F.trim(x["text"]) != ""), lambda x: x["tag"]))
+    found = map_keys_found(leaves, F.map_from_arrays(filled, filled), fields) if undeclared else []
 
     def last(field: str) -> Column:
         hits = F.filter("_leaves", lambda x: (x["tag"] == field) & (F.trim(x["text"]) != ""))
         return _unescaped(F.trim(F.get(hits, F.size(hits) - 1)["text"])).alias(field.lower())
 
-    return leaves.select(*keep, *[last(f) for f in fields])
+    return leaves.select(*keep, *[last(f) for f in [*fields, *found]])
 
 
 def _unescaped(c: Column) -> Column:

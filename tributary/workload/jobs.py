@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tributary.functions import money
 from tributary.operators.history import snapshot, start_history
-from tributary.operators.keyed import append_evolving, drop_copies, merge_rows, upsert
+from tributary.operators.keyed import add_missing_columns, append_evolving, drop_copies, merge_rows, upsert
 from tributary.session import fresh_folder
 from tributary.sources import landing, reports, soap, worklists
 from tributary.sources.catalog import (
@@ -162,6 +162,40 @@ def json_landing(t, spark):
     return flat.select("id", "detalhe__cliente__codigo", "detalhe__cliente__nome", "ativo", F.size("itens").alias("items"))
 
 
+@query("""
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS cliente__codigo,
+           CASE WHEN o_orderkey % 1000 = 7 THEN 'M' || o_custkey END AS cliente__matricula_nova,
+           CASE WHEN o_orderkey % 1000 = 7 THEN CAST(o_orderkey % 3 AS VARCHAR) END AS cliente__endereco__andar,
+           CASE WHEN o_orderkey % 1000 = 9 THEN '[1,' || o_custkey || ']' END AS marcas,
+           CASE WHEN o_orderkey % 1000 = 11 THEN 'sim' WHEN o_orderkey % 1000 = 13 THEN '{"motivo":"' || o_orderpriority || '"}' END AS retido,
+           CASE WHEN o_orderkey % 1000 = 15 THEN 'novo' END AS itens_0_lote,
+           CAST(NULL AS VARCHAR) AS refused, 1 AS n
+    FROM orders WHERE o_orderkey % 500 <> 3
+    UNION ALL
+    SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{"id":' || o_orderkey, 1 FROM orders WHERE o_orderkey % 500 = 3 AND o_orderkey % 1000 <> 3
+    UNION ALL
+    SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'counted', count(*) FROM orders WHERE o_orderkey % 500 = 3""")
+def json_undeclared(t, spark):
+    """One record in a thousand brings nested keys, lists or kinds that nobody declared; two lines in a thousand are no records."""
+    def now_and_then(rest, text):
+        return f"CASE WHEN o_orderkey % 1000 = {rest} THEN {text} ELSE '' END"
+
+    more = now_and_then(7, """',"Matricula_Nova":"M' || o_custkey || '","Endereco":{"Andar":' || o_orderkey % 3 || '}'""")
+    lists = now_and_then(9, """',"Marcas":[1, ' || o_custkey || ']'""")
+    kinds = now_and_then(11, """',"retido":"sim"'""") + " || " + now_and_then(13, """',"RETIDO":{"motivo":"' || o_orderpriority || '"}'""")
+    item = now_and_then(15, """',"lote":"novo"'""")
+    record = f"""'{{"id":' || o_orderkey || ',"Cliente":{{"Codigo":' || o_custkey || {more} || '}}' || {lists} || {kinds} || ',"itens":[{{"n":1' || {item} || '}}]}}'"""
+    broken = """CASE WHEN o_orderkey % 1000 = 3 THEN '[1, 2]' ELSE '{"id":' || o_orderkey END"""
+    path = fresh_folder(spark, "json")
+    t.orders.select(F.expr(f"CASE WHEN o_orderkey % 500 = 3 THEN {broken} ELSE {record} END").alias("value")).write.text(path)
+    landed = landing.land_json_records(spark, path, "id long, Cliente struct<Codigo: long>, itens array<struct<n: int>>")
+    names = ["id", "cliente__codigo", "cliente__matricula_nova", "cliente__endereco__andar", "marcas", "retido"]
+    rows = landed.accepted.select(*names, F.col("itens")[0]["lote"].alias("itens_0_lote"), F.lit(None).cast("string").alias("refused"), F.lit(1).alias("n"))
+    bad = landed.refused.where("value like '{%'").select(F.col("value").alias("refused"), F.lit(1).alias("n"))
+    counted = spark.range(1).select(F.lit("counted").alias("refused"), F.lit(landed.counts["not a JSON object"]).alias("n"))
+    return rows.unionByName(bad, allowMissingColumns=True).unionByName(counted, allowMissingColumns=True)
+
+
 @query("""
     SELECT o_orderstatus AS nome, o_orderkey * 10 + i AS codigocargofuncao, 'cargo ' || i AS categoria
     FROM orders, (VALUES (1), (2)) AS v(i) WHERE o_orderkey % 4 <> 0""")
@@ -270,6 +304,30 @@ def xml_repeated(t, spark):
         F.nullif(F.col("matriculapensionista"), F.lit("")).alias("nome"), "id_registro")
 
 
+@query("""
+    SELECT 'record' AS kind, CAST(o_custkey AS VARCHAR) AS cpf, 0 AS pos, CAST(o_orderkey AS VARCHAR) AS codigo,
+           CASE WHEN o_orderkey % 1000 = 7 THEN 'a < ' || o_custkey END AS observacao,
+           CASE WHEN o_orderkey % 1000 = 9 THEN 'dentro' END AS grupo, CAST(NULL AS VARCHAR) AS andar
+    FROM orders
+    UNION ALL
+    SELECT 'record', CAST(o_custkey AS VARCHAR), 1, 'i' || o_orderkey, NULL, NULL, NULL FROM orders WHERE o_orderkey % 1000 = 11
+    UNION ALL
+    SELECT 'leaves', CAST(o_custkey AS VARCHAR), NULL, CASE WHEN o_orderkey % 1000 = 11 THEN 'i' ELSE '' END || o_orderkey, CASE WHEN o_orderkey % 1000 = 7 THEN 'a < ' || o_custkey END, NULL,
+           CASE WHEN o_orderkey % 1000 = 9 THEN CAST(o_orderkey % 3 AS VARCHAR) END
+    FROM orders""")
+def xml_undeclared(t, spark):
+    """One response in a thousand brings a tag that nobody declared, or an element of the record's own name inside it."""
+    note = "CASE WHEN o_orderkey % 1000 = 7 THEN '<observacao>a &lt; ' || o_custkey || '</observacao>' ELSE '' END"
+    group = "CASE WHEN o_orderkey % 1000 = 9 THEN '<grupo>dentro<andar>' || o_orderkey % 3 || '</andar></grupo>' ELSE '' END"
+    inner = "CASE WHEN o_orderkey % 1000 = 11 THEN '<lista><ns1:Pensao><codigo>i' || o_orderkey || '</codigo></ns1:Pensao></lista>' ELSE '' END"
+    body = f"'<ns1:Pensao><codigo>' || o_orderkey || '</codigo>' || {note} || {group} || {inner} || '</ns1:Pensao>'"
+    responses = t.orders.select(F.col("o_custkey").cast("string").alias("cpf"), F.expr(_envelope(body)).alias("xml"))
+    rows = soap.records(responses, "xml", "Pensao", ["codigo"], keep=["cpf"], undeclared=True).withColumn("kind", F.lit("record"))
+    leaves = soap.flat_record(responses, "xml", ["codigo"], keep=["cpf"], undeclared=True).withColumn("kind", F.lit("leaves"))
+    names = ["kind", "cpf", "pos", "codigo", "observacao", "grupo", "andar"]
+    return add_missing_columns(rows, names).select(*names).unionByName(add_missing_columns(leaves, names).select(*names))
+
+
 @query("""
     SELECT CAST(o_orderkey AS VARCHAR) AS pessoa, CAST(o_custkey AS VARCHAR) AS dataini, NULL AS codocorrencia FROM orders WHERE o_orderkey % 2 = 0
     UNION ALL

@@ -232,6 +232,19 @@ def tree_descent(t, spark):
     return tree_paths(edges, "code", "parent", "label", F.col("code") == "root")
 
 
+@query("""
+    WITH RECURSIVE chain(code, depth, path) AS (
+        SELECT c_custkey, 1, c_custkey::VARCHAR FROM customer WHERE c_custkey < 5
+        UNION ALL
+        SELECT c_custkey, depth + 1, path || '-' || left(lpad(c_custkey::VARCHAR, 5, '0'), 5) FROM chain JOIN customer ON c_custkey = code + 5)
+    SELECT code, depth, length(path) AS length, md5(path) AS path_md5 FROM chain""")
+def tree_chains(t, spark):
+    """All customers in five chains, each below the one five numbers before: as deep as a fifth of the table."""
+    nodes = t.customer.select(F.col("c_custkey").alias("code"), (F.col("c_custkey") - 5).alias("parent"), F.col("c_custkey").cast("string").alias("label"))
+    paths = tree_paths(nodes, "code", "parent", "label", F.col("code") < 5)
+    return paths.select("code", "depth", F.length("path").alias("length"), F.md5(F.col("path").cast("binary")).alias("path_md5"))
+
+
 @query("""
     WITH c AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS k FROM customer),
     s AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS k FROM supplier)
