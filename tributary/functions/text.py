@@ -100,3 +100,9 @@ def python_list(c: Colish, element_ddl: str) -> Column:
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
         text = F.regexp_replace(text, rf"(?<=[:,\[]\s?){word}(?=\s?[,\]}}])", json_word)
     return F.from_json(text, f"array<struct<{element_ddl}>>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
+
+
+def unparsed_list(c: Colish, element_ddl: str) -> Column:
+    """Whether text that should hold a list holds something that does not parse; null and blank text hold no list."""
+    column = as_col(c)
+    return column.isNotNull() & (F.trim(column) != "") & python_list(column, element_ddl).isNull()

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.operators.joins import own_exchange
+from tributary.operators.refusals import Sifted, sift
+
+NULL_KEY = "null in the key"
 
 
 def all_not_null(columns: Sequence[str]) -> Column:
@@ -66,6 +69,17 @@ def upsert(
     return untouched.unionByName(incoming, allowMissingColumns=True)
 
 
+def upsert_sifted(
+    current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None = None
+) -> tuple[DataFrame, Sifted]:
+    """``upsert``, and the batch divided into the rows it takes and those it refuses for a null in the key.
+
+    The batch is computed once: the accepted rows are read from the table that the division wrote.
+    """
+    sifted = sift(batch, {NULL_KEY: ~all_not_null(keys)})
+    return upsert(current, sifted.accepted, keys, order_by), sifted
+
+
 def replace_groups(current: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``current`` with all rows of each key in ``batch`` replaced by the batch's rows of that key.
 

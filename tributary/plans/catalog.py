@@ -7,7 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tributary.functions.text import unparsed_list
+from tributary.operators.refusals import Sifted, sift
 from tributary.plans import budget, contracts, people, transfers
 from tributary.session import kept_table
 from tributary.sources.catalog import publish_view, read_table, write_table
@@ -106,6 +109,24 @@ PRODUCTS: dict[str, Product] = {
 }
 
 
+# Lists that products unfold: the raw column and the fields of an element.
+LISTS: dict[str, tuple[str, str]] = {
+    "faturas": ("dados_empenho", contracts.INVOICE_COMMITMENT),
+    "cargos_funcoes": ("denominacoes__denominacao", people.DENOMINATION),
+    "estrutura_organizacional_cargos": ("cargos", people.POST_ELEMENT),
+}
+
+
+def sift_lists(name: str, raw: DataFrame) -> Sifted:
+    """Raw rows of a product that unfolds a list: those whose list can be read, and those it would lose.
+
+    An empty, blank or null list is no fault: such a row has nothing to unfold. Native arrays are always read.
+    """
+    column, element = LISTS[name]
+    broken = unparsed_list(column, element) if dict(raw.dtypes)[column] == "string" else F.lit(False)
+    return sift(raw, {"list does not parse": broken})
+
+
 def product(name: str, raw: Callable[[str], DataFrame], built: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """A product from raw tables; ``built`` supplies products already materialised.
 
@@ -129,7 +150,8 @@ def product(name: str, raw: Callable[[str], DataFrame], built: Mapping[str, Data
 def build_all(raw: Callable[[str], DataFrame], warehouse: str, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Materialise the products as Parquet below ``warehouse``, each from the tables written before it.
 
-    Views stay lazy and are registered under their name. A merged product takes its last state
+    Raw rows whose list does not parse go to ``refused/<product>`` there, with the reason, instead of being lost in
+    the unfolding. Views stay lazy and are registered under their name. A merged product takes its last state
     along; the merge is written aside first, since it reads the table it replaces.
     """
     built: dict[str, DataFrame] = {}
@@ -137,6 +159,10 @@ def build_all(raw: Callable[[str], DataFrame], warehouse: str, names: list[str]
         entry = PRODUCTS[name]
         path = f"{warehouse.rstrip('/')}/{entry.schema}/{name}"
         frame = product(name, raw, built)
+        if name in LISTS:
+            sifted = sift_lists(name, raw(entry.inputs[0].removeprefix("raw.")))
+            write_table(sifted.refused, f"{warehouse.rstrip('/')}/refused/{name}")
+            frame = entry.build(sifted.accepted)
         if entry.merged:
             last = _existing(frame.sparkSession, path)
             if last is not None:

@@ -321,7 +321,7 @@ def cargos_funcoes(raw: DataFrame) -> DataFrame:
     names = kept("codigotipo nome sigla codigocargofuncao categoria nivel regraautoridade " + ACT_COLUMNS)
     column = "denominacoes__denominacao"
     wide = shaped(raw, [*names, *kept(column)])
-    rows = wide.withColumn("_d", F.explode(_array(wide, column, "codigo: string, descricao: string")))
+    rows = wide.withColumn("_d", F.explode(_array(wide, column, DENOMINATION)))
     return rows.select(
         *[n for n, _, _ in names],
         F.col("_d.codigo").alias("denominacao_codigo"),
@@ -329,6 +329,7 @@ def cargos_funcoes(raw: DataFrame) -> DataFrame:
     )
 
 
+DENOMINATION = "codigo: string, descricao: string"
 POST_ELEMENT = (
     "denominacao: string, funcao: string,"
     " instancias: array<struct<codigoInstancia: string, nomeTitular: string, cpfTitular: string>>"

@@ -67,6 +67,12 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, in whatever store the path names, if it is not there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def kept_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,30 +52,44 @@ def widened(declared: T.DataType | None, found: T.DataType) -> T.DataType:
     return T.StructType(fields)
 
 
-def twins(schema: T.StructType, found: T.StructType, above: tuple[str, ...] = ()) -> dict[tuple[str, ...], list[tuple[str, ...]]]:
-    """Paths of found keys that differ in case from a text column of ``schema``, by the path of that column."""
-    pairs: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
-    known = {f.name.lower(): f for f in schema.fields}
-    for f in found.fields:
-        own = known[f.name.lower()]
-        if own.name != f.name and isinstance(own.dataType, T.StringType):
-            pairs.setdefault((*above, own.name), []).append((*above, f.name))
-        elif isinstance(own.dataType, T.StructType) and isinstance(f.dataType, T.StructType) and own.name == f.name:
-            pairs |= twins(own.dataType, f.dataType, (*above, f.name))
+Path = tuple[str, ...]
+
+
+def key_spellings(df: DataFrame, value: str) -> dict[str, list[str]]:
+    """The keys of all records that occur in more than one spelling of upper and lower case, by their lower-case form.
+
+    Merging structures takes those that differ in case alone as the same, so spellings are gathered from the text: a string
+    before a colon is a key. Distinct keys fold in every input task.
+    """
+    keys = F.regexp_extract_all(value, F.lit(r'"((?:[^"\\]|\\.)*+)"\s*:'), 1)
+    found = df.select(F.explode(keys).alias("k")).distinct().groupBy(F.lower("k").alias("l")).agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    return {r.l: r.ks for r in found.where(F.size("ks") > 1).collect()}
+
+
+def twins(schema: T.StructType, spellings: dict[str, list[str]], above: tuple[Path, ...] = ()) -> dict[Path, tuple[str, list[Path]]]:
+    """By the path of a plain column of ``schema``: its type, and all paths that differ from it in case alone."""
+    pairs: dict[Path, tuple[str, list[Path]]] = {}
+    for f in schema.fields:
+        steps = (*above, tuple(dict.fromkeys([f.name, *spellings.get(f.name.lower(), [])])))
+        if isinstance(f.dataType, T.StructType):
+            pairs |= twins(f.dataType, spellings, steps)
+        elif not isinstance(f.dataType, T.ArrayType | T.MapType) and any(len(s) > 1 for s in steps):
+            own, *others = product(*steps)
+            pairs[own] = (f.dataType.simpleString(), others)
     return pairs
 
 
-def variant_path(path: tuple[str, ...]) -> str:
+def variant_path(path: Path) -> str:
     """A path as VARIANT functions take it."""
     return "$" + "".join(f"[{q}{p}{q}]" for p in path for q in ("'" if '"' in p else '"',))
 
 
-def parsed_json(df: DataFrame, value: str, declared: T.StructType) -> tuple[DataFrame, dict[tuple[str, ...], list[tuple[str, ...]]]]:
+def parsed_json(df: DataFrame, value: str, declared: T.StructType) -> tuple[DataFrame, dict[Path, tuple[str, list[Path]]]]:
     """``df`` with the column ``_r``: the record by the declared fields and all undeclared ones, and with ``_corrupt_record`` in it."""
     found = json_shape(df, value)
     schema = widened(declared, found)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return df.withColumn("_r", F.from_json(value, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})), twins(schema, found)
+    return df.withColumn("_r", F.from_json(value, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})), twins(schema, key_spellings(df, value))
 
 
 def map_keys_found(df: DataFrame, maps: Column, declared: list[str]) -> list[str]:

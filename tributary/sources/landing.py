@@ -12,6 +12,11 @@ from tributary.sources.discovery import CORRUPT, parsed_json, variant_path
 SEPARATOR = "__"
 
 
+def quoted(name: str) -> Column:
+    """A column by its plain name, whatever characters that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def flatten(df: DataFrame, sep: str = SEPARATOR) -> DataFrame:
     """Struct fields become ``a__b`` columns in lower case; scalars become text; arrays stay native."""
     columns: list[Column] = []
@@ -26,7 +31,7 @@ def flatten(df: DataFrame, sep: str = SEPARATOR) -> DataFrame:
             columns.append(column.cast("string").alias(name.lower()))
 
     for field in df.schema.fields:
-        visit(F.col(f"`{field.name}`"), field.name, field.dataType)
+        visit(quoted(field.name), field.name, field.dataType)
     return df.select(*columns)
 
 
@@ -54,17 +59,20 @@ def land_json_records(spark: SparkSession, path: str, schema: T.StructType | str
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) and schema else schema or T.StructType()
     lines = spark.read.text(path).where(F.trim("value") != "")
     parsed, same = parsed_json(lines, "value", declared)
-    # A line that is no object either fails to parse or, as a list or a bare value, gives a record without any field.
-    broken = F.col(f"_r.{CORRUPT}").isNotNull() | F.col("_r").isNull() | ~F.ltrim("value").startswith("{")
+    # A value that is not of its declared kind marks a record as corrupt too; such a record lands with a null there.
+    unread = F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()
+    broken = ~F.ltrim("value").startswith("{") | (unread & F.try_parse_json("value").isNull())
     kept_text = F.col("value") if same else F.when(broken, F.col("value"))
-    sifted = sift(parsed.select("_r", kept_text.alias("value")), {"not a JSON object": broken})
+    sifted = sift(parsed.select("_r", broken.alias("_broken"), kept_text.alias("value")), {"not a JSON object": F.col("_broken")})
     fields = [f.name for f in parsed.schema["_r"].dataType.fields if f.name != CORRUPT]
     document = F.try_parse_json("value")
-    others = [(own, F.coalesce(*[F.try_variant_get(document, variant_path(o), "string") for o in more])) for own, more in same.items()]
+    others = [
+        (own, F.coalesce(*[F.try_variant_get(document, variant_path(o), kind) for o in more]).cast("string")) for own, (kind, more) in same.items()
+    ]
     flat = flatten(sifted.accepted.select(*[F.col("_r")[f].alias(f) for f in fields], *[c.alias(f"_twin_{i}") for i, (_, c) in enumerate(others)]))
     for i, (own, _) in enumerate(others):
         name = SEPARATOR.join(own).lower()
-        flat = flat.withColumn(name, F.coalesce(F.col(f"`{name}`"), F.col(f"_twin_{i}"))).drop(f"_twin_{i}")
+        flat = flat.withColumn(name, F.coalesce(quoted(name), F.col(f"_twin_{i}"))).drop(f"_twin_{i}")
     return Sifted(stamp(flat), sifted.refused.select("value", REASON), sifted.counts)
 
 

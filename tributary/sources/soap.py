@@ -71,7 +71,10 @@ def records(df: DataFrame, xml: str, tag: str, fields: Sequence[str], keep: Sequ
     exploded = df.select(*keep, F.posexplode(_elements(xml, tag)).alias("pos", "_xml"))
     if undeclared:
         wrapped = F.concat(F.lit("<r>"), "_xml", F.lit("</r>"))
-        exploded = exploded.withColumn("_all", F.from_xml(wrapped, f"`{tag}` map<string, string>", {"excludeAttribute": "true"})[tag])
+        # Neither prefix can begin a tag, so attributes and loose text are told apart from children.
+        options = {"attributePrefix": "@", "valueTag": "#"}
+        children = F.map_filter(F.from_xml(wrapped, f"`{tag}` map<string, string>", options)[tag], lambda k, _: ~k.rlike("^[@#]"))
+        exploded = exploded.withColumn("_all", children)
     parsed = exploded.withColumn("_r", F.from_xml("_xml", _ddl(fields)))
     found = map_keys_found(exploded, F.col("_all"), fields) if undeclared else []
     return parsed.select(*keep, "pos", *_lowered("_r", fields), *[_own_text(F.col("_all")[f]).alias(f.lower()) for f in found])

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.operators.keyed import all_not_null, keep_one
+from tributary.operators.keyed import NULL_KEY, all_not_null, keep_one
+from tributary.operators.refusals import REASON, sift
+from tributary.session import make_folder
 
 
 def land_increment(
@@ -21,6 +23,7 @@ def land_increment(
     order_by: str,
     file_format: str = "json",
     max_files: int | None = None,
+    refused: str | None = None,
 ) -> None:
     """Take all files not seen before, then stop.
 
@@ -29,6 +32,9 @@ def land_increment(
     same table. The work of a batch grows with the batch, not with the table; which batch's row
     counts is settled by the reader, and ``read_landed`` written elsewhere is the compacted table.
     No watermark is needed, since a late record is just another write to its key.
+
+    Records with a null in the key cannot be told apart and are no rows of the table. With ``refused`` each batch divides its records
+    in one pass and writes those to a ``batch_id`` folder there, again replacing an earlier try's; ``read_refused`` reads them.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files:
@@ -36,7 +42,13 @@ def land_increment(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rest = [F.col(c).desc_nulls_last() for c in batch.columns if c not in keys and c != order_by]
-        last = keep_one(batch.where(all_not_null(keys)), keys, F.col(order_by).desc_nulls_last(), *rest)
+        taken = batch.where(all_not_null(keys))
+        if refused:
+            sifted = sift(batch, {NULL_KEY: ~all_not_null(keys)}, f"{target.rstrip('/')}-sifted")
+            taken = sifted.accepted
+            if sifted.counts[NULL_KEY]:
+                sifted.refused.write.mode("overwrite").parquet(f"{refused.rstrip('/')}/batch_id={batch_id}")
+        last = keep_one(taken, keys, F.col(order_by).desc_nulls_last(), *rest)
         last.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
 
     query = (
@@ -49,6 +61,14 @@ def land_increment(
     query.awaitTermination()
 
 
+def read_refused(spark: SparkSession, refused: str, schema: T.StructType | str) -> DataFrame:
+    """All records refused so far, with ``refused_because`` and the batch that brought them."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    make_folder(spark, refused)
+    whole = T.StructType([*declared.fields, T.StructField(REASON, T.StringType()), T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(whole).parquet(refused)
+
+
 def read_landed(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
     """The table as it stands: per key the row of the newest batch."""
     batches = spark.read.option("mergeSchema", "true").parquet(target)

@@ -10,13 +10,13 @@ from pyspark.sql import types as T
 
 from tributary.functions import money
 from tributary.operators.history import snapshot, start_history
-from tributary.operators.keyed import add_missing_columns, append_evolving, drop_copies, merge_rows, upsert
+from tributary.operators.keyed import NULL_KEY, add_missing_columns, append_evolving, drop_copies, merge_rows, upsert, upsert_sifted
 from tributary.session import fresh_folder
 from tributary.sources import landing, reports, soap, worklists
 from tributary.sources.catalog import (
     create_history, publish_view, read_table, update_history, upsert_table, write_table,
 )
-from tributary.streaming.landing import land_increment, read_landed
+from tributary.streaming.landing import land_increment, read_landed, read_refused
 from tributary.workload.derived import br, day, iso, month, padded, year
 from tributary.workload.query import query
 
@@ -45,6 +45,22 @@ def upsert_latest(t, spark):
     return upsert(after_first, second.union(without_key), ["o_orderkey"], "dt_ingest").drop("dt_ingest")
 
 
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 50 <> 0 THEN 'new' ELSE o_orderstatus END AS status, NULL AS refused_because, NULL AS counted FROM orders
+    UNION ALL SELECT NULL, o_orderstatus || o_orderkey, 'null in the key', NULL FROM orders WHERE o_orderkey % 150 = 0
+    UNION ALL SELECT NULL, NULL, 'null in the key', count(*) FROM orders WHERE o_orderkey % 150 = 0""")
+def upsert_refused(t, spark):
+    """A batch with keyless rows: what the table takes, what it refuses and how many, from one pass over the batch."""
+    current = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    keyless = F.col("o_orderkey") % 50 == 0
+    batch = t.orders.where("o_orderkey % 3 = 0").select(
+        F.when(~keyless, F.col("o_orderkey")).alias("o_orderkey"),
+        F.when(keyless, F.concat("o_orderstatus", F.col("o_orderkey").cast("string"))).otherwise("new").alias("status"))
+    after, sifted = upsert_sifted(current, batch, ["o_orderkey"])
+    count = spark.range(1).select(F.lit(NULL_KEY).alias("refused_because"), F.lit(sifted.counts[NULL_KEY]).cast("long").alias("counted"))
+    return after.unionByName(sifted.refused, allowMissingColumns=True).unionByName(count, allowMissingColumns=True)
+
+
 @query("""
     WITH target AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS p, 'old' AS state FROM orders),
     batch AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS p, 'new' AS state
@@ -471,3 +487,23 @@ def incremental_landing(t, spark):
         events.where(part).write.mode("append").json(f"{root}/in")
         land_increment(spark, f"{root}/in", schema, f"{root}/table", f"{root}/progress", ["user_id"], "ts")
     return read_landed(spark, f"{root}/table", ["user_id"]).select("user_id", "event_id", "event_type")
+
+
+@query("""
+    SELECT user_id, event_id, NULL AS refused_because, NULL AS batch_id FROM events
+    WHERE user_id IS NOT NULL AND event_id % 100 <> 7
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    UNION ALL
+    SELECT NULL, event_id, 'null in the key', CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END FROM events WHERE user_id IS NULL OR event_id % 100 = 7""")
+def incremental_refused(t, spark):
+    """Two runs of the stream over records that partly lack their key: the table, and beside it what it refused, by batch."""
+    root = fresh_folder(spark, "stream")
+    schema = "event_id long, ts timestamp, user_id long, event_type string"
+    events = t.events.select("event_id", "ts", F.when(F.col("event_id") % 100 != 7, F.col("user_id")).alias("user_id"), "event_type")
+    middle = "timestamp'2024-01-15 00:00:00'"
+    for part in (f"ts < {middle}", f"ts >= {middle}"):
+        events.where(part).write.mode("append").json(f"{root}/in")
+        land_increment(spark, f"{root}/in", T.StructType.fromDDL(schema), f"{root}/table", f"{root}/progress", ["user_id"], "ts", refused=f"{root}/refused")
+    landed = read_landed(spark, f"{root}/table", ["user_id"]).select("user_id", "event_id")
+    refused = read_refused(spark, f"{root}/refused", schema).select("user_id", "event_id", "refused_because", "batch_id")
+    return landed.unionByName(refused, allowMissingColumns=True)
