@@ -206,7 +206,7 @@ def test_history_table_leaves_closed_versions_alone(spark, tmp_path, rows):
 
     path = str(tmp_path / "h")
     state = lambda *data: spark.createDataFrame(list(data), "id int, v string")
-    create_history(path, state((1, "a"), (2, "b")), F.lit("2024-01-01"))
+    create_history(path, state((1, "a"), (2, "b")), ["id"], F.lit("2024-01-01"))
     update_history(spark, path, state((1, "x"), (2, "b")), ["id"], ["v"], F.lit("2024-02-01"))
     closed = tmp_path / "h" / "version=20240201T000000.000000"
     before = sorted(f.name for f in closed.iterdir())

@@ -223,7 +223,59 @@ def test_upsert_table_keeps_rows_without_partition(spark, tmp_path, rows):
 def test_history_runs_within_a_second(spark, tmp_path, rows):
     path, state = str(tmp_path / "h"), lambda v: spark.createDataFrame([(1, v)], "id int, v string")
     stamp = lambda part: F.lit(f"2024-02-01 00:00:00.{part}").cast("timestamp_ntz")
-    catalog.create_history(path, state("a"), stamp("000"))
+    catalog.create_history(path, state("a"), ["id"], stamp("000"))
     for value, part in (("b", "100"), ("c", "900")):
         catalog.update_history(spark, path, state(value), ["id"], ["v"], stamp(part))
     assert rows(catalog.read_table(spark, path), "v") == [("a",), ("b",), ("c",)]
+
+
+def files_by_folder(path):
+    return {f.parent.relative_to(path): sorted(x.name for x in f.parent.glob("*.parquet")) for f in path.rglob("*.parquet")}
+
+
+def test_append_reads_only_its_buckets_and_adds_what_is_new(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    history = spark.range(3000).selectExpr("CAST(id % 2500 AS STRING) AS nc", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'x' END AS v", "'2024-01-01' AS dt_ingest", "id AS more")
+    catalog.append_unseen(spark, path, history, ["nc", "v"], "dt_ingest")
+    before = files_by_folder(tmp_path / "t")
+    batch = spark.createDataFrame([("0", None, "2024-01-02", 1), ("1", None, "2024-01-02", 1), ("new", "", "2024-01-03", 2), ("new", "", "2024-01-02", 3), (None, None, "2024-01-02", 4)], history.schema)
+    known = catalog.read_table(spark, path).where(catalog._in_partitions(catalog.with_digest(batch, ["nc", "v"], 1024), catalog.BUCKET))
+    plan = known.select(catalog.BUCKET, catalog.DIGEST)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan and "more" not in plan.split("ReadSchema")[1]
+    catalog.append_unseen(spark, path, batch, ["nc", "v"], "dt_ingest")
+    catalog.append_unseen(spark, path, batch, ["nc", "v"], "dt_ingest")  # again: nothing
+    expected = catalog.drop_copies(history.union(batch), ["nc", "v"], "dt_ingest")
+    assert rows(catalog.read_landing(spark, path), "nc", "v", "dt_ingest") == rows(expected, "nc", "v", "dt_ingest")
+    after = files_by_folder(tmp_path / "t")
+    assert all(set(after[k]) >= set(v) for k, v in before.items())  # no file of the history was rewritten
+    assert len({k for k in after if after[k] != before.get(k)}) <= 3
+
+
+def test_history_rewrites_changed_buckets_only(spark, tmp_path, rows):
+    path = str(tmp_path / "h")
+
+    def state(changed, gone=()):
+        return spark.createDataFrame([(i, "n" if i in changed else None, i) for i in range(500) if i not in gone], "id long, v string, w long")
+
+    catalog.create_history(path, state(()), ["id"], F.lit("2024-01-01"))
+    before = files_by_folder(tmp_path / "h")
+    assert catalog.update_history(spark, path, state((), gone=(7, 8)), ["id"], ["v"], F.lit("2024-01-15")) == []  # vanished rows stay open
+    assert files_by_folder(tmp_path / "h") == before
+    touched = catalog.update_history(spark, path, state((3, 4)), ["id"], ["v"], F.lit("2024-02-01"))
+    after = files_by_folder(tmp_path / "h")
+    rewritten = {k for k in before if after[k] != before[k]}
+    assert len(rewritten) == len(touched) <= 2 and len(after) == len(before) + len(touched)
+    table = catalog.read_table(spark, path)
+    assert table.count() == 502 and rows(table.where("valid_to is not null"), "id", "v") == [(3, None), (4, None)]
+    assert rows(table.where("valid_to is null and id < 6"), "id", "v") == [(0, None), (1, None), (2, None), (3, "n"), (4, "n"), (5, None)]
+
+
+def test_landing_rules_on_tables(spark, tmp_path, rows):
+    path = lambda n: str(tmp_path / n)
+    ddl = "id string, v string"
+    for batch in ([("1", "a"), ("2", "a")], [("2", "b"), (None, "lost"), ("3", "b")], []):
+        catalog.land_batch(spark, path("contratos"), "contratos", spark.createDataFrame(batch, ddl))
+    assert rows(catalog.read_landing(spark, path("contratos"))) == [("1", "a"), ("2", "b"), ("3", "b")]
+    for batch in ([("1", "a"), ("1", "b"), ("2", "a")], [("1", "c")]):
+        catalog.land_batch(spark, path("d"), "dados_dependentes", spark.createDataFrame(batch, "cpf string, v string"))
+    assert rows(catalog.read_landing(spark, path("d"))) == [("1", "c"), ("2", "a")]

@@ -73,6 +73,13 @@ def make_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in whatever store the path names; none when there is no folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+
 def kept_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators.history import snapshot, start_history
-from tributary.operators.keyed import drop_copies, replace_groups, upsert
-from tributary.session import kept_table
+from tributary.operators.keyed import all_not_null, drop_copies, replace_groups, upsert
+from tributary.session import folder_names, kept_table
 
 
 @dataclass(frozen=True)
@@ -151,32 +151,136 @@ def upsert_table(
     replacement can be repeated from there. The driver sees the touched partition values, of which
     there are no more than partitions.
     """
-    touched = [row[0] for row in batch.select(partition).distinct().collect()]
-    in_touched = F.col(partition).isin([v for v in touched if v is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(partition).isNull()
-    current = read_table(spark, path).where(in_touched)
-    after = kept_table(upsert(current, batch, keys, order_by), "upsert")
-    write_table(after, path, partition_by=[partition])
+    _rewrite_touched(spark, path, batch, partition, lambda current: upsert(current, batch, keys, order_by))
 
 
-def update_history(
-    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], check_cols: Sequence[str], ts: Column
+def _rewrite_touched(
+    spark: SparkSession, path: str, batch: DataFrame, partition: str, change: Callable[[DataFrame], DataFrame]
 ) -> None:
-    """Bring a history table up to ``source``, leaving the closed versions on disk alone.
+    """Read, change and replace the partitions that hold a row of ``batch``."""
+    after = kept_table(change(read_table(spark, path).where(_in_partitions(batch, partition))), "rewrite")
+    write_table(after, path, partition_by=[partition])
+
+
+def _in_partitions(batch: DataFrame, partition: str) -> Column:
+    """Condition on the partitions of ``batch`` as a list of values, so that readers leave the other folders alone."""
+    touched = [row[0] for row in batch.select(partition).distinct().collect()]
+    listed = F.col(partition).isin([v for v in touched if v is not None])
+    return listed | F.col(partition).isNull() if None in touched else listed
+
 
-    The table is partitioned by ``version``: ``open``, or the time at which a version was closed.
-    A run reads and rewrites the open versions and adds one partition of those it closed, named to the
-    microsecond, so that runs in the same second do not replace each other's.
+BUCKET, DIGEST = "key_bucket", "key_digest"
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with ``key_bucket``, which depends on the key's text alone."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def with_digest(df: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with the digest of the columns (null unlike any text) and the bucket it falls into."""
+    parts = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in (F.col(c).cast("string") for c in columns)]
+    digest = F.substring(F.unhex(F.sha2(F.concat(*parts), 256)), 1, 16)
+    return bucketed(df.withColumn(DIGEST, digest), [DIGEST], buckets)
+
+
+def append_unseen(spark: SparkSession, path: str, batch: DataFrame, columns: Sequence[str], first_by: str, buckets: int = 1024) -> None:
+    """Append the rows of ``batch`` whose business ``columns`` the table does not hold yet (nulls are equal).
+
+    The table is laid out by bucket of the business key's digest. A batch first drops its own copies (the earliest by
+    ``first_by`` stays), then reads the digests, nothing else, of the buckets it falls into, and adds what is missing. So a
+    batch costs what it brings and the digests of its buckets, not a regrouping of the history, and no file is rewritten.
+    A repeated batch adds nothing; one that broke off adds the rest. The number of buckets belongs to the table.
     """
-    before = read_table(spark, path).where("version = 'open'").drop("version")
-    after = kept_table(snapshot(before, source, keys, check_cols, ts), "history")
-    write_table(_versioned(after), path, partition_by=["version"])
+    own = kept_table(with_digest(drop_copies(batch, columns, first_by), columns, buckets), "batch")
+    if folder_names(spark, path):
+        known = read_table(spark, path).where(_in_partitions(own, BUCKET)).select(F.col(BUCKET).alias("_b"), F.col(DIGEST).alias("_d"))
+        fresh = own.join(known, (F.col(BUCKET) == F.col("_b")) & (F.col(DIGEST) == F.col("_d")), "left_anti")
+        write_table(kept_table(fresh, "unseen"), path, mode="append", partition_by=[BUCKET])
+    else:
+        write_table(own, path, partition_by=[BUCKET])
+
 
+def land_batch(spark: SparkSession, path: str, name: str, batch: DataFrame, buckets: int = 64) -> None:
+    """Bring the raw table at ``path`` up to a batch by the rule of its landing, touching only what the batch does.
 
-def create_history(path: str, source: DataFrame, ts: Column) -> None:
+    The same rows as ``apply_batch`` over the whole table. Keyed tables are laid out by bucket of their key, and only
+    buckets that the batch falls into are read and rewritten; extracts append what the table does not hold.
+    ``read_landing`` reads the table.
+    """
+    landing = LANDINGS[name]
+    if name in EXTRACT_COLUMNS and landing.keys:
+        batch = batch.fillna("NaN", subset=list(landing.keys))
+    if landing.mode in ("refresh", "append"):
+        write_table(batch, path, mode="overwrite" if landing.mode == "refresh" else "append")
+        return
+    if landing.mode == "append_dedupe":
+        append_unseen(spark, path, batch, EXTRACT_COLUMNS[name], "dt_ingest", buckets)
+        return
+    incoming = kept_table(bucketed(batch.where(all_not_null(landing.keys)), landing.keys, buckets), "batch")
+    order_by = "dt_ingest" if "dt_ingest" in batch.columns else None
+
+    def change(current: DataFrame) -> DataFrame:
+        if landing.mode == "replace":
+            return replace_groups(current, incoming, landing.keys)
+        return upsert(current, incoming, landing.keys, order_by)
+
+    if any(n.startswith(f"{BUCKET}=") for n in folder_names(spark, path)):
+        _rewrite_touched(spark, path, incoming, BUCKET, change)
+    else:
+        write_table(kept_table(change(incoming.limit(0)), "rewrite"), path, partition_by=[BUCKET])
+
+
+def read_landing(spark: SparkSession, path: str) -> DataFrame:
+    """A raw table that ``land_batch`` keeps, without the columns of its layout."""
+    return read_table(spark, path).drop(BUCKET, DIGEST)
+
+
+HISTORY_BUCKETS = 64
+
+
+def update_history(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], check_cols: Sequence[str], ts: Column
+) -> list[int]:
+    """Bring a history table up to ``source`` and return the buckets of keys that this changed.
+
+    The table is partitioned by ``version`` (``open``, or the time at which a version was closed, to the
+    microsecond, so that runs in the same second do not replace each other's) and by bucket of the key. A run compares an
+    order-independent checksum of keys and watched columns per bucket between the open versions and the source; in buckets that
+    differ it looks for source rows that are not open as they are. Only buckets with such rows are read whole and
+    rewritten, and only their new closed versions are added; a bucket in which rows merely vanished from the source stays, as its versions do.
+    """
+    source = kept_table(bucketed(source, keys, HISTORY_BUCKETS), "source")
+    watched = list(dict.fromkeys([*keys, *check_cols]))
+    opened = read_table(spark, path).where("version = 'open'").drop("version")
+    differing = _differing_buckets(opened.select(BUCKET, *watched), source.select(BUCKET, *watched))
+    row = lambda cs: F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cs)])
+    stale = F.col(BUCKET).isin(differing)
+    known = opened.where(stale).select(row([BUCKET, *watched]).alias("_row"))
+    changed = source.where(stale).join(known, row([BUCKET, *watched]) == F.col("_row"), "left_anti")
+    touched = [r[0] for r in changed.select(BUCKET).distinct().sort(BUCKET).collect()]
+    if touched:
+        inside = F.col(BUCKET).isin(touched)
+        after = kept_table(snapshot(opened.where(inside), source.where(inside), keys, check_cols, ts), "history")
+        write_table(_versioned(after), path, partition_by=["version", BUCKET])
+    return touched
+
+
+def _differing_buckets(one: DataFrame, other: DataFrame) -> list[int]:
+    """Buckets in which two sets of rows differ, by counts and sums of row hashes; at most as many as there are buckets."""
+    def checksums(df: DataFrame, sign: int) -> DataFrame:
+        hashed = F.xxhash64(*[c for c in df.columns if c != BUCKET], *[F.col(c).isNull() for c in df.columns if c != BUCKET])
+        sums = df.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"), F.sum(hashed.cast("decimal(20,0)")).alias("s"))
+        return sums.select(BUCKET, (F.col("n") * sign).alias("n"), (F.col("s") * sign).alias("s"))
+
+    both = checksums(one, 1).unionByName(checksums(other, -1)).groupBy(BUCKET).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    return [r[0] for r in both.where("n <> 0 OR s <> 0").select(BUCKET).collect()]
+
+
+def create_history(path: str, source: DataFrame, keys: Sequence[str], ts: Column) -> None:
     """First state of a history table."""
-    write_table(_versioned(start_history(source, ts)), path, partition_by=["version"])
+    first = bucketed(source, keys, HISTORY_BUCKETS)
+    write_table(_versioned(start_history(first, ts)), path, partition_by=["version", BUCKET])
 
 
 def _versioned(history: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from tributary.operators.keyed import NULL_KEY, add_missing_columns, append_evol
 from tributary.session import fresh_folder
 from tributary.sources import landing, reports, soap, worklists
 from tributary.sources.catalog import (
-    create_history, publish_view, read_table, update_history, upsert_table, write_table,
+    EXTRACT_COLUMNS, create_history, land_batch, publish_view, read_landing, read_table, update_history, upsert_table, write_table,
 )
 from tributary.streaming.landing import land_increment, read_landed, read_refused
 from tributary.workload.derived import br, day, iso, month, padded, year
@@ -84,6 +84,62 @@ def dedupe_business_key(t, spark):
     return drop_copies(twice, ["event_type", "user_id", "value"], "dt_ingest")
 
 
+@query("""
+    SELECT emissao, nc, nc_valor, parcel, min(batch) AS since, count(*) > 1 AS came_again FROM (
+        SELECT CAST(year(o_orderdate) AS VARCHAR) AS emissao, 'NC' || o_custkey AS nc,
+               CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS nc_valor, o_orderkey % 3 = 0 AS parcel, b.batch
+        FROM orders, (VALUES (1, '2024-01-01'), (2, '2024-01-02'), (3, '2024-01-03')) AS b(i, batch)
+        WHERE o_orderkey % 4 + 1 = b.i OR o_orderkey % 4 = 3 AND b.i > 1) GROUP BY ALL""")
+def extract_batches(t, spark):
+    """Sent and received extracts as one batch; three batches that overlap, landed one after the other."""
+    path = fresh_folder(spark, "extracts")
+    names = EXTRACT_COLUMNS["nc_tesouro"]
+    year, note = F.year("o_orderdate").cast("string"), F.concat(F.lit("NC"), F.col("o_custkey").cast("string"))
+    for i in (1, 2, 3):
+        rows = t.orders.where((F.col("o_orderkey") % 4 + 1 == i) | ((F.col("o_orderkey") % 4 == 3) & F.lit(i > 1)))
+        base = [year.alias(names[0]), note.alias(names[1]), (F.col("o_orderkey") % 3 == 0).cast("string").alias(names[3])]
+        sent = rows.where("o_orderkey % 2 = 0").select(*base)
+        received = rows.where("o_orderkey % 2 = 1").select(F.col("o_orderpriority").alias(names[2]), *base)
+        batch = add_missing_columns(reports.combine(sent, received), names).withColumn("dt_ingest", F.lit(f"2024-01-0{i}"))
+        land_batch(spark, path, "nc_tesouro", batch)
+        whole = batch if i == 1 else whole.unionByName(batch)
+    again = whole.groupBy(names[:4]).agg((F.count(F.lit(1)) > 1).alias("came_again")).select(F.struct(*names[:4]).alias("k"), "came_again")
+    landed = read_landing(spark, path).withColumn("key", F.struct(*names[:4]))
+    return landed.join(again, F.col("key") == F.col("k")).select(
+        F.col(names[0]).alias("emissao"), F.col(names[1]).alias("nc"), F.col(names[2]).alias("nc_valor"),
+        F.col(names[3]).cast("boolean").alias("parcel"), F.col("dt_ingest").alias("since"), "came_again")
+
+
+@query("""
+    WITH b(i) AS (VALUES (1), (2), (3)),
+    people AS (SELECT o_orderkey, o_custkey, i FROM orders, b WHERE o_custkey % 4 + 1 >= i)
+    SELECT 'contratos' AS table_name, CAST(o_orderkey AS VARCHAR) AS key, 'v' || max(i) AS v FROM orders, b WHERE i = 1 OR o_orderkey % (i * 5) = 0 GROUP BY o_orderkey
+    UNION ALL
+    SELECT 'dados_financeiros', CAST(o_custkey AS VARCHAR), 'v' || i || '-' || o_orderkey FROM people
+    QUALIFY i = max(i) OVER (PARTITION BY o_custkey)
+    UNION ALL
+    SELECT 'afastamento_historico', CAST(o_orderkey AS VARCHAR), 'v' || i FROM orders, b WHERE o_orderkey % i = 0
+    UNION ALL
+    SELECT 'cronograma', CAST(o_orderkey AS VARCHAR), 'v3' FROM orders WHERE o_orderkey % 3 = 0""")
+def landed_batches(t, spark):
+    """Three batches each into a table that is upserted, replaced by person, appended to, refreshed."""
+    paths = {n: fresh_folder(spark, n) for n in ("contratos", "dados_financeiros", "afastamento_historico", "cronograma")}
+    key = F.col("o_orderkey").cast("string")
+    for i in (1, 2, 3):
+        value = F.lit(f"v{i}")
+        land_batch(spark, paths["contratos"], "contratos", t.orders.where(F.lit(i == 1) | (F.col("o_orderkey") % (i * 5) == 0)).select(key.alias("id"), value.alias("v")))
+        person = t.orders.where(F.col("o_custkey") % 4 + 1 >= i).select(F.col("o_custkey").cast("string").alias("cpf"), F.concat(value, F.lit("-"), key).alias("v"))
+        land_batch(spark, paths["dados_financeiros"], "dados_financeiros", person)
+        some = t.orders.where(F.col("o_orderkey") % i == 0).select(key.alias("id"), value.alias("v"))
+        land_batch(spark, paths["afastamento_historico"], "afastamento_historico", some)
+        land_batch(spark, paths["cronograma"], "cronograma", some)
+    parts = [
+        read_landing(spark, path).select(F.lit(name).alias("table_name"), F.col("cpf" if name == "dados_financeiros" else "id").alias("key"), "v")
+        for name, path in paths.items()
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 @query("""
     SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS note, 'sent' AS extract FROM orders WHERE o_orderkey % 2 = 0
     UNION ALL
@@ -140,7 +196,7 @@ def history_table(t, spark):
 
     first_letter = F.left("status", F.lit(1))
     second = marked(first, 5, "!")
-    create_history(path, first, F.lit("2024-01-01"))
+    create_history(path, first, ["id"], F.lit("2024-01-01"))
     update_history(spark, path, second, ["id"], ["status"], F.lit("2024-02-01"))
     update_history(spark, path, marked(second, 35, "?"), ["id"], ["status"], F.lit("2024-03-01"))
     return read_table(spark, path).select(
