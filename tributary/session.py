@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -80,6 +81,29 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; false when another writer was first."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        stream = system.create(file, False)
+    except Py4JJavaError as problem:
+        if "FileAlreadyExistsException" in str(problem.java_exception.getClass().getName()):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it; nothing happens where there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def kept_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

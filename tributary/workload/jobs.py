@@ -16,7 +16,7 @@ from tributary.sources import landing, reports, soap, worklists
 from tributary.sources.catalog import (
     EXTRACT_COLUMNS, create_history, land_batch, publish_view, read_landing, read_table, update_history, upsert_table, write_table,
 )
-from tributary.streaming.landing import land_increment, read_landed, read_refused
+from tributary.streaming.landing import compact_landed, land_increment, read_landed, read_refused
 from tributary.workload.derived import br, day, iso, month, padded, year
 from tributary.workload.query import query
 
@@ -560,3 +560,22 @@ def incremental_refused(t, spark):
     landed = read_landed(spark, f"{root}/table", ["user_id"]).select("user_id", "event_id")
     refused = read_refused(spark, f"{root}/refused", schema).select("user_id", "event_id", "refused_because", "batch_id")
     return landed.unionByName(refused, allowMissingColumns=True)
+
+
+@query("""
+    SELECT user_id, event_id, event_type, 2 AS levels FROM events WHERE user_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def compacted_landing(t, spark):
+    """Ten batches of the stream, compacted after five and after ten: batches become runs, runs a run of the next level."""
+    root = fresh_folder(spark, "stream")
+    schema = T.StructType.fromDDL("event_id long, ts timestamp, user_id long, event_type string")
+    events = t.events.select("event_id", "ts", "user_id", "event_type")
+    day = F.dayofmonth("ts")
+    for first in (0, 5):
+        for i in range(first, first + 5):
+            part = events.where((day > 3 * i) & (day <= 3 * i + 3)) if i < 9 else events.where(day > 27)
+            part.repartition(1).write.mode("append").json(f"{root}/in")
+        land_increment(spark, f"{root}/in", schema, f"{root}/table", f"{root}/progress", ["user_id"], "ts", max_files=1)
+        manifest = compact_landed(spark, f"{root}/table", ["user_id"], fan_in=2)
+    landed = read_landed(spark, f"{root}/table", ["user_id"])
+    return landed.select("user_id", "event_id", "event_type", F.lit(max(level for _, level in manifest.runs)).alias("levels"))
