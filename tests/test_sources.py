@@ -279,3 +279,30 @@ def test_landing_rules_on_tables(spark, tmp_path, rows):
     for batch in ([("1", "a"), ("1", "b"), ("2", "a")], [("1", "c")]):
         catalog.land_batch(spark, path("d"), "dados_dependentes", spark.createDataFrame(batch, "cpf string, v string"))
     assert rows(catalog.read_landing(spark, path("d"))) == [("1", "c"), ("2", "a")]
+
+
+def test_columns_are_kept_beside_the_table(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    catalog.write_table(spark.createDataFrame([(1, "a", 1)], "id int, v string, p int"), path, partition_by=["p"])
+    catalog.write_table(spark.createDataFrame([(2, "n", 2)], "id int, note string, p int"), path, partition_by=["p"])
+    catalog.write_table(spark.createDataFrame([(3, 1)], "id int, p int"), path, mode="append", partition_by=["p"])
+    assert catalog.table_schema(spark, path).names == ["id", "v", "p", "note"]
+    assert len(catalog.folder_names(spark, f"{path}/_schemas")) == 2  # the third write brought no column
+    assert rows(catalog.read_table(spark, path), "id", "v", "note", "p") == [(1, "a", None, 1), (2, None, "n", 2), (3, None, None, 1)]
+    with pytest.raises(ValueError, match="v: the table holds another type"):
+        catalog.write_table(spark.createDataFrame([(4, 5, 3)], "id int, v int, p int"), path, partition_by=["p"])
+    assert catalog.read_table(spark, path).count() == 3
+    (tmp_path / "t" / "_schemas" / "000003.json").write_text('{"type":"stru')  # a writer that broke off
+    catalog.write_table(spark.createDataFrame([(5, "x", 3)], "id int, later string, p int"), path, partition_by=["p"])
+    assert catalog.table_schema(spark, path).names == ["id", "v", "p", "note", "later"]
+    catalog.write_table(spark.createDataFrame([("new",)], "v string"), path)  # a full overwrite starts anew
+    assert rows(catalog.read_table(spark, path)) == [("new",)]
+
+
+def test_a_table_from_elsewhere_is_read_by_its_footers(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(path)
+    spark.createDataFrame([(2, "b")], "id int, w string").write.mode("append").parquet(path)
+    assert rows(catalog.read_table(spark, path).select("id", "v", "w")) == [(1, "a", None), (2, None, "b")]
+    catalog.write_table(spark.createDataFrame([(3, "c")], "id int, x string"), path, mode="append")
+    assert set(catalog.table_schema(spark, path).names) == {"id", "v", "w", "x"} and catalog.read_table(spark, path).count() == 3

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.operators.history import snapshot, start_history
 from tributary.operators.keyed import all_not_null, drop_copies, replace_groups, upsert
-from tributary.session import folder_names, kept_table
+from tributary.session import create_text, folder_names, kept_table
 
 
 @dataclass(frozen=True)
@@ -128,12 +130,63 @@ def apply_batch(name: str, current: DataFrame | None, batch: DataFrame) -> DataF
     return joined
 
 
+SCHEMAS = "_schemas"  # readers of the data skip names that begin so
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Materialise as Parquet. With partitions, only those present in ``df`` are replaced."""
+    """Materialise as Parquet. With partitions, only those present in ``df`` are replaced.
+
+    The table's columns are kept beside it and advanced before the data: a write that breaks off leaves a column
+    without values at most. A full overwrite starts them anew. A column cannot change its type otherwise.
+    """
+    spark = df.sparkSession
     writer = df.write.mode(mode)
+    keeps = bool(partition_by) or mode == "append"
+    if keeps:
+        _advance_schema(spark, path, df.schema)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+    if not keeps:
+        _advance_schema(spark, path, df.schema)
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns that writers have brought so far; nothing for a table that ``write_table`` did not write."""
+    folder = f"{path.rstrip('/')}/{SCHEMAS}"
+    for name in reversed(folder_names(spark, folder)):
+        text = spark.read.option("wholetext", "true").text(f"{folder}/{name}").first()
+        try:
+            return T.StructType.fromJson(json.loads(text[0] if text else ""))
+        except ValueError:  # its writer broke off
+            continue
+    return None
+
+
+def _advance_schema(spark: SparkSession, path: str, brought: T.StructType) -> None:
+    """Add the columns that the table does not know yet, as a new numbered file; of two writers at once the later adds to the earlier's."""
+    folder = f"{path.rstrip('/')}/{SCHEMAS}"
+    while True:
+        taken = folder_names(spark, folder)
+        known = table_schema(spark, path)
+        if known is None and not taken and folder_names(spark, path):
+            known = spark.read.option("mergeSchema", "true").parquet(path).schema  # a table from elsewhere
+        types = {f.name: f.dataType for f in known.fields} if known else {}
+        changed = [f.name for f in brought.fields if f.name in types and _loose(types[f.name]) != _loose(f.dataType)]
+        if changed:
+            raise ValueError(f"{', '.join(changed)}: the table holds another type")
+        fields = [*(known.fields if known else []), *[f for f in brought.fields if f.name not in types]]
+        if known is not None and taken and len(fields) == len(known.fields):
+            return
+        number = int(taken[-1].removesuffix(".json")) + 1 if taken else 1
+        union = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+        if create_text(spark, f"{folder}/{number:06d}.json", union.json()):
+            return
+
+
+def _loose(kind: T.DataType) -> str:
+    """A type without what says whether nulls are allowed."""
+    return kind.simpleString()
 
 
 def upsert_table(
@@ -289,8 +342,12 @@ def _versioned(history: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table whose files may have gained columns over time."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Parquet table whose files may have gained columns over time.
+
+    With the columns kept beside the table no footer is opened to plan the read; another's table is read by the union of its footers.
+    """
+    known = table_schema(spark, path)
+    return spark.read.schema(known).parquet(path) if known else spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def publish_view(df: DataFrame, name: str) -> None:
