@@ -40,7 +40,7 @@ PRODUCTS: dict[str, Product] = {
     "faturas": _p(contracts.faturas, "contratos", "raw.faturas"),
     "identificadores": _p(contracts.identificadores, "contratos", "contratos empenhos faturas", view=True, reread=True),
     "contratos_empenhos": _p(contracts.contratos_empenhos, "contratos", "identificadores empenhos_tesouro"),
-    "estagios_mensal": _p(contracts.estagios_mensal, "contratos", "empenhos_tesouro"),
+    "estagios_mensal": _p(contracts.estagios_mensal, "contratos", "empenhos_tesouro", reread=True),
     "contratos_estagios": _p(contracts.contratos_estagios, "contratos", "identificadores estagios_mensal"),
     "contratos_faturas": _p(contracts.contratos_faturas, "contratos", "contratos faturas"),
     "cronogramas_faturas_mensal": _p(

@@ -235,10 +235,15 @@ def contratos_empenhos(identificadores: DataFrame, empenhos_tesouro: DataFrame)
     stay as rows without amounts. Then, for commitments that have some unmatched row, by a process
     with one contract, a supplier with one contract, and the composed reference in the free text.
     """
-    treasury = empenhos_tesouro.select(
-        F.upper(F.right("ne_ccor", F.lit(12))).alias("ne_transformed"),
-        *[c for c in LINK_COLUMNS if c != "ne_transformed"],
-        text.capture("ne_info_complementar", "^([0-9]+) -").alias("_reference"),
+    # Equal treasury rows count once per contract, so they are folded first; only their numbers and keys go through the joins.
+    wide = kept_table(
+        empenhos_tesouro.select(
+            F.upper(F.right("ne_ccor", F.lit(12))).alias("ne_transformed"), *[c for c in LINK_COLUMNS if c != "ne_transformed"],
+        ).distinct().withColumn("_row", F.monotonically_increasing_id()),
+        "treasury",
+    )
+    treasury = wide.select(
+        "_row", "ne_transformed", "ne_ccor", "ne_ccor_favorecido", "ne_num_processo", text.capture("ne_info_complementar", "^([0-9]+) -").alias("_reference"),
     )
     by_number = (
         identificadores.where("ne is not null and cnpj_cpf is not null")
@@ -248,16 +253,16 @@ def contratos_empenhos(identificadores: DataFrame, empenhos_tesouro: DataFrame)
     number_keys = by_number.select("_ne", "_cnpj", F.lit(True).alias("_known")).distinct()
 
     fact_on = (F.col("ne_transformed") == F.col("_ne")) & (F.col("ne_ccor_favorecido") == F.col("_cnpj"))
-    matched = treasury.join(by_number, fact_on).select("contrato_id", *LINK_COLUMNS)
+    matched = treasury.join(by_number, fact_on).select("contrato_id", "_row")
     fact_keys = treasury.select(
         F.col("ne_transformed").alias("_ne"), F.col("ne_ccor_favorecido").alias("_cnpj")
     ).distinct()
-    types = dict(matched.dtypes)
+    types = dict(wide.dtypes)
     contract_only = by_number.join(fact_keys, ["_ne", "_cnpj"], "left_anti").select(
         "contrato_id",
         F.col("_ne").alias("ne_transformed"),
         *[F.lit(None).cast(types[c]).alias(c) for c in LINK_COLUMNS if c != "ne_transformed"],
-    )
+    ).distinct()
 
     unmatched = (
         treasury.select("ne_ccor", "ne_ccor_favorecido", "ne_transformed")
@@ -282,8 +287,9 @@ def contratos_empenhos(identificadores: DataFrame, empenhos_tesouro: DataFrame)
         entity="contrato_id",
         residue_key="ne_ccor",
         residue=unmatched,
-    ).select("contrato_id", *LINK_COLUMNS)
-    return matched.union(contract_only).union(linked).distinct()
+    ).select("contrato_id", "_row")
+    links = matched.union(linked).distinct().withColumnRenamed("_row", "_of")
+    return links.join(wide, F.col("_of") == F.col("_row")).select("contrato_id", *LINK_COLUMNS).union(contract_only)
 
 
 STAGE_VALUES = ["valor_empenhado", "valor_liquidado", "valor_pago", "restos_a_pagar", "restos_a_pagar_pago"]
@@ -351,19 +357,22 @@ def contratos_estagios(
     ``unlinked_only=True`` offers only those that neither earlier key linked. Assignments
     ("Cessão") and contracts without a category take no part.
 
-    Each stage row tries the keys in turn inside one chain of left joins, so the stages are read
-    and carried once.
+    Each stage row tries the keys in turn inside one chain of left joins, which carries numbers and keys; the
+    amounts join the links at the end.
     """
+    # Equal stage rows count once per contract, so they are folded first; only their numbers and keys go through the joins.
+    stages = kept_table(estagios_mensal.distinct().withColumn("_row", F.monotonically_increasing_id()), "stages")
+    keys = stages.select("_row", "ne", "cnpj_cpf", "num_processo", "info_complementar")
     ids = identificadores.where(F.col("categoria") != "Cessão")
     first = ids.select(F.col("contrato_id").alias("_c1"), F.col("ne").alias("_n1"), F.col("cnpj_cpf").alias("_s1")).distinct()
-    stage_keys = estagios_mensal.select(F.col("ne").alias("_n1"), F.col("cnpj_cpf").alias("_s1")).distinct()
+    stage_keys = keys.select(F.col("ne").alias("_n1"), F.col("cnpj_cpf").alias("_s1")).distinct()
     linked_first = first.join(stage_keys, ["_n1", "_s1"], "left_semi").select("_c1").distinct()
     second = (
         ids.join(linked_first, F.col("contrato_id") == F.col("_c1"), "left_anti")
         .select(F.col("contrato_id").alias("_c2"), F.col("cnpj_cpf").alias("_s2"), F.col("processo").alias("_p2"))
         .distinct()
     )
-    after_first = estagios_mensal.join(
+    after_first = keys.join(
         first, (F.col("ne") == F.col("_n1")) & (F.col("cnpj_cpf") == F.col("_s1")), "left"
     )
     after_second = after_first.join(
@@ -388,9 +397,9 @@ def contratos_estagios(
         & (F.col("cnpj_cpf") == F.col("_s3")) & (F.col("info_complementar") == F.col("_r3")),
         "left",
     )
-    linked = after_third.select(
-        F.coalesce("_c1", "_c2", "_c3").alias("contrato_id"), *estagios_mensal.columns
-    ).where("contrato_id is not null").distinct()
+    linked = after_third.select(F.coalesce("_c1", "_c2", "_c3").alias("contrato_id"), "_row").where("contrato_id is not null").distinct()
+    amounts = stages.select(F.col("_row").alias("_of"), "mes_lancamento", *STAGE_VALUES)
+    linked = linked.join(amounts, F.col("_row") == F.col("_of"))
     return linked.groupBy("contrato_id", "mes_lancamento").agg(*[F.sum(v).alias(v) for v in STAGE_VALUES])
 
 
