@@ -1,11 +1,13 @@
 """Landing jobs on small files."""
 
 import json
+import pathlib
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from tributary.operators.keyed import merge_rows
 from tributary.sources import catalog, landing, reports, soap, worklists
 from tributary.streaming.landing import land_increment, read_landed
 
@@ -306,3 +308,30 @@ def test_a_table_from_elsewhere_is_read_by_its_footers(spark, tmp_path, rows):
     assert rows(catalog.read_table(spark, path).select("id", "v", "w")) == [(1, "a", None), (2, None, "b")]
     catalog.write_table(spark.createDataFrame([(3, "c")], "id int, x string"), path, mode="append")
     assert set(catalog.table_schema(spark, path).names) == {"id", "v", "w", "x"} and catalog.read_table(spark, path).count() == 3
+
+
+def test_merge_rewrites_changed_buckets_only(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+
+    def batch(changed=(), more=()):
+        plain = [(i, str(i % 7), "new" if i in changed else None, 1.5) for i in range(300)]
+        return spark.createDataFrame([*plain, *more], "k int, l string, v string, w double")
+
+    keys, odd = ["k", "l"], [(None, "x", "odd", 0.0), (1, None, "odd", 0.0)]
+    catalog.merge_table(spark, path, batch(more=odd), keys)
+    before = files_by_folder(tmp_path / "t")
+    assert catalog.merge_table(spark, path, batch(), keys) == [] and files_by_folder(tmp_path / "t") == before  # all of it again
+    touched = catalog.merge_table(spark, path, batch((5, 6), [(999, "y", None, 2.0), *odd]), keys)
+    after = files_by_folder(tmp_path / "t")
+    assert 1 <= len(touched) <= 3
+    assert {k for k in before if not set(before[k]) <= set(after[k])} <= {pathlib.Path(f"key_bucket={b}") for b in touched}
+    expected = merge_rows(batch(more=odd), batch((5, 6), [(999, "y", None, 2.0), *odd]), keys)
+    assert rows(catalog.read_landing(spark, path), "k", "l", "v", "w") == rows(expected, "k", "l", "v", "w")
+    twice = str(tmp_path / "twice")
+    for times in (2, 1):  # a first batch that holds a key twice, then the same again
+        again = spark.createDataFrame([(1, "a", "x", 1.0)] * times, "k int, l string, v string, w double")
+        catalog.merge_table(spark, twice, again, keys)
+        assert catalog.read_landing(spark, twice).count() == times
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="not laid out"):
+        catalog.merge_table(spark, str(tmp_path / "other"), batch(), keys)

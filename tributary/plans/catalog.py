@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.text import unparsed_list
 from tributary.operators.refusals import Sifted, sift
 from tributary.plans import budget, contracts, people, transfers
 from tributary.session import kept_table
-from tributary.sources.catalog import publish_view, read_table, write_table
+from tributary.sources.catalog import merge_table, publish_view, read_landing, read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -23,10 +22,10 @@ class Product:
     schema: str
     view: bool = False
     reread: bool = False  # read by several branches of its consumers: kept as a table in one plan too
-    merged: bool = False  # a new run is merged into the table of the last one
+    merged: tuple[str, ...] = ()  # a new run is merged into the table of the last one by this key
 
 
-def _p(build: Callable[..., DataFrame], schema: str, inputs: str, **flags: bool) -> Product:
+def _p(build: Callable[..., DataFrame], schema: str, inputs: str, **flags: bool | tuple[str, ...]) -> Product:
     return Product(build, tuple(inputs.split()), schema, **flags)
 
 
@@ -36,7 +35,7 @@ PRODUCTS: dict[str, Product] = {
     "cronogramas": _p(contracts.cronogramas, "contratos", "raw.cronograma"),
     "empenhos": _p(contracts.empenhos, "contratos", "raw.empenhos"),
     "empenhos_tesouro": _p(
-        contracts.empenhos_tesouro, "contratos", "raw.empenhos_tesouro", reread=True, merged=True),
+        contracts.empenhos_tesouro, "contratos", "raw.empenhos_tesouro", reread=True, merged=tuple(contracts.TREASURY_KEY)),
     "faturas": _p(contracts.faturas, "contratos", "raw.faturas"),
     "identificadores": _p(contracts.identificadores, "contratos", "contratos empenhos faturas", view=True, reread=True),
     "contratos_empenhos": _p(contracts.contratos_empenhos, "contratos", "identificadores empenhos_tesouro"),
@@ -164,10 +163,9 @@ def build_all(raw: Callable[[str], DataFrame], warehouse: str, names: list[str]
             write_table(sifted.refused, f"{warehouse.rstrip('/')}/refused/{name}")
             frame = entry.build(sifted.accepted)
         if entry.merged:
-            last = _existing(frame.sparkSession, path)
-            if last is not None:
-                landed = raw(entry.inputs[0].removeprefix("raw."))
-                frame = kept_table(entry.build(landed, last), name)
+            merge_table(frame.sparkSession, path, frame, entry.merged)
+            built[name] = read_landing(frame.sparkSession, path)
+            continue
         if entry.view:
             publish_view(frame, name)
         else:
@@ -175,13 +173,3 @@ def build_all(raw: Callable[[str], DataFrame], warehouse: str, names: list[str]
             frame = read_table(frame.sparkSession, path)
         built[name] = frame
     return built
-
-
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or nothing when none was written yet."""
-    try:
-        return read_table(spark, path)
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" in (problem.getCondition() or ""):
-            return None
-        raise

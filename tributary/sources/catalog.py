@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.operators.history import snapshot, start_history
-from tributary.operators.keyed import all_not_null, drop_copies, replace_groups, upsert
+from tributary.operators.keyed import all_not_null, drop_copies, merge_rows, replace_groups, upsert
 from tributary.session import create_text, folder_names, kept_table
 
 
@@ -284,6 +284,43 @@ def land_batch(spark: SparkSession, path: str, name: str, batch: DataFrame, buck
         write_table(kept_table(change(incoming.limit(0)), "rewrite"), path, partition_by=[BUCKET])
 
 
+def merge_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], buckets: int = 64) -> list[int]:
+    """Merge a batch into a table by SQL equality of the keys, and return the buckets of keys that were rewritten.
+
+    The same rows as ``merge_rows``. The whole source may come again with every run: rows the table holds as they are change
+    nothing. The table is laid out by bucket of the key; one anti join against it finds the buckets of new and changed rows, and only these
+    are read whole and rewritten. The first batch is taken as it is; what it holds twice under one key becomes one row with the
+    next batch, as in any merge. A key with a null part never matches, so its rows are added in files of their own.
+    ``read_landing`` reads the table.
+    """
+    rows = kept_table(bucketed(batch, keys, buckets), "batch")
+    complete, partial = rows.where(all_not_null(keys)), rows.where(~all_not_null(keys))
+    if not any(n.startswith(f"{BUCKET}=") for n in folder_names(spark, path)):
+        if set(folder_names(spark, path)) - {SCHEMAS, "_SUCCESS", "._SUCCESS.crc"}:
+            raise ValueError(f"{path}: the table is not laid out by {BUCKET}")
+        write_table(rows, path, partition_by=[BUCKET])
+        return [r[0] for r in rows.select(BUCKET).distinct().sort(BUCKET).collect()]
+    incoming = kept_table(merge_rows(complete.limit(0), complete, keys), "batch")  # one row per key
+    table = read_table(spark, path)
+    whole = lambda df: F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate([BUCKET, *[c for c in df.columns if c != BUCKET]])])
+    known = columns_like(table, incoming).where(_in_partitions(incoming, BUCKET))
+    changed = incoming.join(known.select(whole(known).alias("_row")), whole(incoming) == F.col("_row"), "left_anti")
+    doubled = known.where(all_not_null(keys)).groupBy(BUCKET, *keys).count().where("count > 1")
+    touched = [r[0] for r in changed.select(BUCKET).union(doubled.select(BUCKET)).distinct().sort(BUCKET).collect()]
+    if touched:
+        inside = F.col(BUCKET).isin(touched)
+        after = kept_table(merge_rows(table.where(inside), incoming.where(inside), keys), "merge")
+        write_table(after, path, partition_by=[BUCKET])
+    if not partial.isEmpty():
+        write_table(partial, path, mode="append", partition_by=[BUCKET])
+    return touched
+
+
+def columns_like(table: DataFrame, like: DataFrame) -> DataFrame:
+    """``table`` with the columns of ``like`` in its order, absent ones as null of its type."""
+    return table.select(*[F.col(f.name) if f.name in table.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """A raw table that ``land_batch`` keeps, without the columns of its layout."""
     return read_table(spark, path).drop(BUCKET, DIGEST)

@@ -14,7 +14,7 @@ from tributary.operators.keyed import NULL_KEY, add_missing_columns, append_evol
 from tributary.session import fresh_folder
 from tributary.sources import landing, reports, soap, worklists
 from tributary.sources.catalog import (
-    EXTRACT_COLUMNS, create_history, land_batch, publish_view, read_landing, read_table, update_history, upsert_table, write_table,
+    EXTRACT_COLUMNS, create_history, land_batch, merge_table, publish_view, read_landing, read_table, update_history, upsert_table, write_table,
 )
 from tributary.streaming.landing import compact_landed, land_increment, read_landed, read_refused
 from tributary.workload.derived import br, day, iso, month, padded, year
@@ -74,6 +74,24 @@ def merge_null_keys(t, spark):
     return merge_rows(target, batch, ["o_orderkey", "p"])
 
 
+@query("""
+    WITH target AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS p, o_orderstatus AS state FROM orders),
+    batch AS (SELECT o_orderkey, p, CASE WHEN o_orderkey < 40 THEN 'new' ELSE state END AS state FROM target)
+    SELECT *, CAST(NULL AS BOOLEAN) AS rewritten FROM batch
+    UNION ALL SELECT *, NULL FROM target WHERE p IS NULL
+    UNION ALL SELECT NULL, NULL, 'buckets', (SELECT count(*) > 0 FROM batch WHERE state = 'new')""")
+def merge_changed(t, spark):
+    """The whole source comes again with forty rows changed: the merged table, and whether buckets were rewritten, fewer than all."""
+    path = fresh_folder(spark, "merged")
+    rows = t.orders.select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderpriority")).alias("p"), F.col("o_orderstatus").alias("state"))
+    merge_table(spark, path, rows, ["o_orderkey", "p"], buckets=64)
+    changed = F.when(F.col("o_orderkey") < 40, "new").otherwise(F.col("state"))
+    touched = merge_table(spark, path, rows.withColumn("state", changed), ["o_orderkey", "p"], buckets=64)
+    note = spark.range(1).select(F.lit("buckets").alias("state"), F.lit(0 < len(touched) < 64).alias("rewritten"))
+    return read_landing(spark, path).unionByName(note, allowMissingColumns=True)
+
+
 @query("""
     SELECT event_type, user_id, CAST(value AS DOUBLE) AS value, min(batch) AS dt_ingest
     FROM (SELECT *, '2024-02-01' AS batch FROM events UNION ALL SELECT *, '2024-02-02' AS batch FROM events)
