@@ -40,7 +40,6 @@ def _elements(xml: Colish, tag: str) -> Column:
     attributes = r"(?:\s(?:[^>/]|/(?!>))*+)?"  # may hold a slash, but not that of a self-closed element
     pattern = rf"(?s)<{tag}{attributes}(?:/>|>.*?</{tag}>)"
     flat = F.regexp_extract_all(_body(xml), F.lit(pattern), 0)
-    inner = F.exists(flat, lambda e: F.substring(e, 2, 1 << 30).rlike(rf"<{tag}[\s>]"))
     pieces = F.regexp_extract_all(_body(xml), F.lit(rf"<{tag}{attributes}/?>|</{tag}>|[^<]++|<"), 0)
     span = "array<struct<first: int, last: int>>"
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("open"), F.array().cast(span).alias("done"))
@@ -58,7 +57,9 @@ def _elements(xml: Colish, tag: str) -> Column:
 
     spans = F.array_sort(F.aggregate(pieces, start, step)["done"])
     nested = F.transform(spans, lambda s: F.array_join(F.slice(pieces, s["first"], s["last"] - s["first"] + 1), ""))
-    return F.when(inner, nested).otherwise(flat)
+    # Bound to a name of its own, the result of the pattern is computed once for the question and the answer.
+    inner = lambda elements: F.exists(elements, lambda e: F.locate(f"<{tag}", e, 2) > 0)
+    return F.transform(F.array(flat), lambda elements: F.when(inner(elements), nested).otherwise(elements))[0]
 
 
 def records(df: DataFrame, xml: str, tag: str, fields: Sequence[str], keep: Sequence[str] = (), undeclared: bool = False) -> DataFrame:
