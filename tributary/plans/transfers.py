@@ -16,9 +16,9 @@ NO_TRANSFER = "-8"
 NO_PTRES = "-9"
 BENEFICIARY_UNIT = "IPEA"
 # How a transfer number and a credit note number are written in free text. The
-# longest word comes first, since alternatives are tried in order.
+# word "TRANSFERENCIA " stands before "TRANSF.", since alternatives are tried in order.
 TRANSFER_NUMBER = (
-    r"(?U)(TRANSFERENCIA |FERENCIA|NUMERO|TRANSF.|CRICAO|TED|CAO|Nº)"
+    r"(?U)(FERENCIA|NUMERO|Nº|TED|CRICAO|TRANSFERENCIA |TRANSF.|CAO)"
     r"(\s|^|-|)([0-9]{6}|1\w{5}|[0-9]{3}\.[0-9]{3})(\s|$|\.|,|-|\/)"
 )
 CREDIT_NOTE_NUMBER = "([0-9]{4}NC[0-9]+)"
