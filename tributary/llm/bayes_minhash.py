@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import components
+from tributary.llm.common import contracted, discard, free_name
 from tributary.llm.wordhash import Words, mix, text_chunks
 from tributary.session import kept_table
 
@@ -20,7 +21,8 @@ _ADD = np.random.default_rng(11).integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _MULTIPLY = np.random.default_rng(12).integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _PLACE = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 SIGNED = "doc_id long, n_shingles long, digest binary, signature binary"
-JUDGED = "a long, b long, alike boolean"
+PAIRS = "a long, b long, name_a long, name_b long"
+JUDGED = f"{PAIRS}, alike boolean"
 
 
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
@@ -108,11 +110,17 @@ def _prune(bounds: list[int]):
                 cut = slice(step * BATCH, (step + 1) * BATCH)
                 matches[left] += (sides[0][left, cut] == sides[1][left, cut]).sum(axis=1)
                 alike[left] = matches[left] >= bound
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(alike)], names=["a", "b", "alike"])
+            yield _judged(batch, alike)
 
     return run
 
 
+def _judged(batch: pa.RecordBatch, alike: np.ndarray | list[bool]) -> pa.RecordBatch:
+    """The batch's pairs with their verdicts."""
+    names = ["a", "b", "name_a", "name_b"]
+    return pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(alike, pa.bool_())], names=[*names, "alike"])
+
+
 def _linked(x: np.ndarray, y: np.ndarray, numerator: int, denominator: int) -> bool:
     """Exact test of two sets, ``denominator`` * common >= ``numerator`` * union."""
     both = np.concatenate((x, y))
@@ -130,7 +138,7 @@ def _confirm(numerator: int, denominator: int):
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 alike.append(_linked(x, y, numerator, denominator))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(alike, pa.bool_())], names=["a", "b", "alike"])
+            yield _judged(batch, alike)
 
     return run
 
@@ -194,8 +202,10 @@ def _open_pairs(bounds: list[int], numerator: int, denominator: int):
                     xa, xb = ([np.frombuffer(v, dtype=np.uint64) for v in get[f"{s}_set"]] for s in "lr")
                     sure = np.array([_linked(xa[p], xb[q], numerator, denominator) for p, q in zip(i, j)], dtype=bool)
                     i, j = i[sure], j[sure]
-                a, b = ca[i], cb[j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                a, b, name_a, name_b = ca[i], cb[j], na[i], nb[j]
+                low = a < b
+                columns = [np.where(low, a, b), np.where(low, b, a), np.where(low, name_a, name_b), np.where(low, name_b, name_a)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "name_a", "name_b"])
 
     return run
 
@@ -203,7 +213,7 @@ def _open_pairs(bounds: list[int], numerator: int, denominator: int):
 def _rest_of_bands(
     still: DataFrame, sizes: DataFrame, signed: DataFrame, sets: DataFrame | None, bounds: list[int], numerator: int, denominator: int, block_rows: int = 256
 ) -> DataFrame:
-    """Open pairs (a, b) of every band's members, found block by block however many members a band has.
+    """Open pairs (a, b and the names of their components) of every band's members, found block by block however many members a band has.
 
     With ``sets`` the blocks carry them, and the pairs returned are links.
     """
@@ -227,22 +237,28 @@ def _rest_of_bands(
     left, right = blocks.select("band", "place", *side("l")), blocks.select(F.col("band").alias("r_band"), *side("r"))
     met = left.join(right, (F.col("band") == F.col("r_band")) & (F.col("l_block") <= F.col("r_block")))
     met = met.withColumn("same", F.col("l_block") == F.col("r_block")).drop("band", "r_band", "l_block", "r_block")
-    return met.mapInArrow(_open_pairs(bounds, numerator, denominator), "a long, b long")
+    return met.mapInArrow(_open_pairs(bounds, numerator, denominator), PAIRS)
 
 
 def _judge(pairs: DataFrame, signed: DataFrame, sets: DataFrame, bounds: list[int], numerator: int, denominator: int) -> DataFrame:
-    """The pairs (a, b) that are links: sizes, then signatures in batches, then full sets of the survivors."""
+    """The pairs that are links, with the names of their components: sizes, then signatures in batches, then full sets of the survivors."""
     info = signed.select("cls", "n_shingles", "signature")
     one = info.select(key("cls").alias("ka"), F.col("signature").alias("sig_a"), F.col("n_shingles").alias("n_a"))
     two = info.select(key("cls").alias("kb"), F.col("signature").alias("sig_b"), F.col("n_shingles").alias("n_b"))
     sized = pairs.join(one, key("a") == F.col("ka")).join(two, key("b") == F.col("kb"))
     close = sized.where(F.least("n_a", "n_b") * denominator >= F.greatest("n_a", "n_b") * numerator)
-    hopeful = close.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune(bounds), JUDGED).where("alike").select("a", "b")
-    hopeful = kept_table(hopeful, "hopeful")
+    named = ("a", "b", "name_a", "name_b")
+    hopeful = close.select(*named, "sig_a", "sig_b").mapInArrow(_prune(bounds), JUDGED).where("alike")
     first = sets.select(key("cls").alias("ka"), F.col("shingles").alias("set_a"))
     second = sets.select(key("cls").alias("kb"), F.col("shingles").alias("set_b"))
-    full = hopeful.join(first, key("a") == F.col("ka")).join(second, key("b") == F.col("kb")).select("a", "b", "set_a", "set_b")
-    return full.mapInArrow(_confirm(numerator, denominator), JUDGED).where("alike").select("a", "b")
+    full = hopeful.join(first, key("a") == F.col("ka")).join(second, key("b") == F.col("kb")).select(*named, "set_a", "set_b")
+    return full.mapInArrow(_confirm(numerator, denominator), JUDGED).where("alike").select(*named)
+
+
+def _renamed(df: DataFrame, renaming: DataFrame) -> DataFrame:
+    """``df`` with ``name`` replaced where ``renaming`` (node, name) has another."""
+    other = renaming.select(key("node").alias("rk"), F.col("name").alias("to"))
+    return df.join(other, key("name") == F.col("rk"), "left").withColumn("name", F.coalesce("to", "name")).drop("rk", "to")
 
 
 def near_documents(
@@ -271,87 +287,117 @@ def near_documents(
     their texts are equal, and as members of each other's component otherwise. Other columns are
     ignored, and an empty table gives no rows.
     """
+    return _near_documents(df, numerator, denominator, miss, text, doc_id, pivot_rounds)[0]
+
+
+def _near_documents(
+    df: DataFrame, numerator: int = 75, denominator: int = 100, miss: float = 1e-6, text: str = "text", doc_id: str = "doc_id",
+    pivot_rounds: int = 8,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """What ``near_documents`` returns, and the kept tables that it reads. Others are deleted once their successor is written."""
     bounds = least_matches(numerator / denominator, miss)
-    source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    source = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     signed = kept_table(source.mapInArrow(_sign, SIGNED), "signatures")
+    documents = kept_table(signed.drop("signature"), "documents")
     whole = signed.where("doc_id is not null and n_shingles > 0")
     # Equal sets have equal signatures, so any one will do. Two texts under one id are two classes
     # with the same first id, so classes get numbers of their own.
     grouped = whole.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("first_id"), F.any_value("signature").alias("signature"))
-    classes = kept_table(grouped.withColumn("cls", F.monotonically_increasing_id()), "set-classes")
-    members = classes.select("cls", "signature").mapInArrow(_bands, "cls long, band long, place int")
-    crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key("band").alias("bk"))
-    members = kept_table(members.join(crowded, key("band") == F.col("bk"), "left_semi").select("band", "place", "cls"), "bands")
-    involved = kept_table(members.select("cls").distinct(), "involved")
-    signed_in = kept_table(classes.join(involved, "cls", "left_semi").select("cls", "n_shingles", "signature", "first_id", "digest"), "involved-signatures")
+    wide = kept_table(grouped.withColumn("cls", F.monotonically_increasing_id()), "set-classes")
+    discard(signed)
+    members = wide.select("cls", "signature").mapInArrow(_bands, "cls long, band long, place int")
+    n = F.count(F.lit(1))
+    crowded = members.groupBy("band").agg(n.alias("n"), n.alias("squares"), n.alias("names")).where("n > 1")
+    crowded = kept_table(crowded, "mixed-bands")
+    shared = members.join(crowded.select(key("band").alias("bk")), key("band") == F.col("bk"), "left_semi")
+    shared = shared.select("band", "place", "cls", F.col("cls").alias("name"))
+    state = kept_table(shared, "bands")
+    involved = state.select("cls").distinct()
+    signed_in = kept_table(wide.join(involved, "cls", "left_semi").select("cls", "n_shingles", "signature", "first_id", "digest"), "involved-signatures")
+    classes = kept_table(wide.drop("signature"), "classes")
+    discard(wide)
     # The full sets of these, computed once more from the text of the class's first document.
     texts = signed_in.select(key("first_id").alias("tk"), "cls", "digest")
     by_id = source.join(texts, key("doc_id") == F.col("tk"))
     sets = kept_table(by_id.select("cls", "digest", "text").mapInArrow(_sets, "cls long, shingles binary"), "full-sets")
 
-    names = involved.withColumn("name", F.col("cls"))
-    links = tested = None
+    renamings: list[DataFrame] = []
+    tested: list[DataFrame] = []
     open_before = None
     last = len(OPENING_BANDS) + pivot_rounds
     for turn in range(last + 1):
-        state = members.join(names.select(F.col("cls").alias("n_cls"), "name"), F.col("cls") == F.col("n_cls")).select("band", "place", "cls", "name")
-        state = kept_table(state, "band-state")
-        per_name = state.groupBy("band", "name").agg(F.count(F.lit(1)).alias("n"))
-        per_band = per_name.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count(F.lit(1)).alias("names"))
-        mixed = kept_table(per_band.where("names > 1"), "mixed-bands")
+        mixed = crowded  # at first every class has a name of its own
+        if turn:
+            per_name = state.groupBy("band", "name").agg(n.alias("n"))
+            per_band = per_name.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), n.alias("names"))
+            mixed = kept_table(per_band.where("names > 1"), "mixed-bands")
         rest = mixed.agg(F.sum(F.col("n") * F.col("n") - F.col("squares")), F.sum("n")).first()
         if not rest[0]:
+            discard(mixed)
             break
-        still = state.join(mixed.select(key("band").alias("mk")), key("band") == F.col("mk"), "left_semi")
+        # Names only fall together, so a band that is not mixed now never is again.
+        still = state.join(mixed.select(key("band").alias("mk")), key("band") == F.col("mk"), "left_semi") if turn else state
         opening = turn < len(OPENING_BANDS)
         few = rest[0] <= 4 * rest[1] or turn == last or (open_before is not None and rest[0] > 0.9 * open_before)
         open_before = None if opening else rest[0]
         if few:
             # Pairs of small bands are few per member; those of large ones are confirmed where they are found.
             large = _rest_of_bands(still, mixed.where(F.col("n") > SMALL_BAND), signed_in, sets, bounds, numerator, denominator)
-            large = kept_table(large, "links-of-large-bands")
-            links = large if links is None else links.union(large)
             pairs = _rest_of_bands(still, mixed.where(F.col("n") <= SMALL_BAND), signed_in, None, bounds, numerator, denominator)
         else:
-            if opening:
-                still = still.where(F.col("place") < OPENING_BANDS[turn])
+            large = None
+            met = state.where(F.col("place") < OPENING_BANDS[turn]) if opening else state
             lowest = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("r"), F.col("cls").alias("c"), F.col("name").alias("n")))
-            pivot = still.groupBy("band").agg(lowest.alias("p")).select(key("band").alias("pk"), "p")
-            met = still.join(pivot, key("band") == F.col("pk")).where("name != p.n").select("cls", F.col("p.c").alias("c"))
-            pairs = met.select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b"))
+            pivot = met.groupBy("band").agg(lowest.alias("p")).select(key("band").alias("pk"), "p")
+            met = met.join(pivot, key("band") == F.col("pk")).where("name != p.n")
+            low = F.col("cls") < F.col("p.c")
+            pairs = met.select(
+                F.least("cls", "p.c").alias("a"), F.greatest("cls", "p.c").alias("b"),
+                F.when(low, F.col("name")).otherwise(F.col("p.n")).alias("name_a"), F.when(low, F.col("p.n")).otherwise(F.col("name")).alias("name_b"),
+            )
         pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select(key("a", "b").alias("seen")), key("a", "b") == F.col("seen"), "left_anti")
+        if tested:
+            seen = reduce(DataFrame.union, tested).select(key("a", "b").alias("seen"))
+            pairs = pairs.join(seen, key("a", "b") == F.col("seen"), "left_anti")
         pairs = kept_table(pairs, "pairs")
-        new = kept_table(_judge(pairs, signed_in, sets, bounds, numerator, denominator), "links")
-        links = new if links is None else links.union(new)
+        new = _judge(pairs, signed_in, sets, bounds, numerator, denominator)
+        # Only the new links are contracted, over the names so far.
+        renaming = contracted(new if large is None else large.union(new), "name_a", "name_b")
+        renamings.append(renaming)
+        if not few:
+            tested.append(pairs)
+            renamed = kept_table(_renamed(still, renaming), "bands")
+            discard(state)
+            state = renamed
+        discard(mixed)
         if few:
             break
-        tested = pairs if tested is None else tested.union(pairs)
-        named = components(links).select(F.col("node").alias("c_node"), F.col("component").alias("c_name"))
-        names = kept_table(
-            involved.join(named, F.col("cls") == F.col("c_node"), "left").select("cls", F.coalesce("c_name", "cls").alias("name")), "names"
-        )
-    if links is not None:
-        named = components(links).select(F.col("node").alias("c_node"), F.col("component").alias("c_name"))
-        classes = classes.join(named, F.col("cls") == F.col("c_node"), "left").withColumn("name", F.coalesce("c_name", "cls"))
-    else:
-        classes = classes.withColumn("name", F.col("cls"))
-    classes = kept_table(classes.select("digest", "n_shingles", "first_id", "name"), "named-classes")
-    smallest = classes.groupBy("name").agg(F.min("first_id").alias("component_id")).select(key("name").alias("nk"), "component_id")
-    final = classes.join(smallest, key("name") == F.col("nk")).select(key("digest", "n_shingles").alias("ck"), "component_id")
-    known = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), key("digest", "n_shingles")).alias("dk"))
+    for spent in [state, signed_in, sets, *tested]:
+        discard(spent)
+    named = classes.withColumn("name", F.col("cls"))
+    for renaming in renamings:
+        named = _renamed(named, renaming)
+    named = kept_table(named.select("digest", "n_shingles", "first_id", "name"), "named-classes")
+    for spent in [classes, *renamings]:
+        discard(spent)
+    smallest = named.groupBy("name").agg(F.min("first_id").alias("component_id")).select(key("name").alias("nk"), "component_id")
+    final = named.join(smallest, key("name") == F.col("nk")).select(key("digest", "n_shingles").alias("ck"), "component_id")
+    known = documents.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), key("digest", "n_shingles")).alias("dk"))
     component = F.coalesce("component_id", "doc_id")
-    return known.join(final, F.col("dk") == F.col("ck"), "left").select(
+    result = known.join(final, F.col("dk") == F.col("ck"), "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+    return result, [documents, named]
 
 
 def drop_near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of ``df`` without those ``near_documents`` does not keep: one document per group stays.
 
-    Rows of equal id are one document: they stay or go together.
+    Rows of equal id are one document: they stay or go together. Other columns are handed on, whatever their names.
     """
-    lost = near_documents(df, text=text, doc_id=doc_id, **options).where("not kept").select(F.col("doc_id").alias("_lost")).distinct()
-    lost = kept_table(lost, "near-copies")
-    return df.join(lost, F.col(f"`{doc_id}`").cast("long") == F.col("_lost"), "left_anti")
+    marked, working = _near_documents(df, text=text, doc_id=doc_id, **options)
+    lost_id = free_name(df, "lost")
+    lost = kept_table(marked.where("not kept").select(F.col("doc_id").alias(lost_id)).distinct(), "near-copies")
+    for spent in working:
+        discard(spent)
+    return df.join(lost, F.col(f"`{doc_id}`").cast("long") == F.col(lost_id), "left_anti")

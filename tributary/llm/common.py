@@ -33,53 +33,69 @@ def literal_table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
     return spark.range(1).select(F.inline(parsed))
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Connected components of the graph whose edges are ``links``: rows (node, component).
-
-    A component is named by its smallest node. Nodes without an edge are not listed. Each round lets
-    every node join the neighbour of smallest random rank (or stay, if it ranks lowest itself), renames
-    the ends of all edges and drops those that fell together. A fresh random order per round shrinks
-    the graph by a constant factor in expectation, also for long chains, so the rounds grow with the
-    logarithm of the graph. Every round is one aggregate with partial minima and two lookups whose hot side
-    adaptive execution can split; its result is a table in the shared folder, so the plan stays
-    short and a lost executor costs one round at most.
+def contracted(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Connected components of the graph whose edges are ``links``: a kept table (node, name).
+
+    All nodes of a component have one of them as their name; nodes without an edge are not listed. In each
+    round every node takes the name of smallest random rank among its neighbours and their neighbours (itself
+    included), the ends of all edges are renamed and edges within one name go. Two steps let a star fall
+    together at once wherever its centre ranks, and a fresh random order per round shrinks the graph by a
+    constant factor in expectation, also for long chains, so the rounds grow with the logarithm of the graph.
+    Repeated edges do no harm, as minima are taken in part before each shuffle. A round's results are tables in
+    the shared folder, so a lost executor costs one round at most; those of the round before are deleted.
     """
     edges = kept_table(
-        links.where(F.col(a) != F.col(b))
-        .select(F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v"))
-        .distinct(),
-        "edges",
+        links.where(F.col(a) != F.col(b)).select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")), "edges"
     )
-    names = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("name", F.col("node"))
-    turn = 0
-    while not edges.isEmpty():
+    names, turn = None, 0
+    while names is None or not edges.isEmpty():
         turn += 1
 
         def ranked(node: str) -> Column:
             return F.struct(F.xxhash64(F.lit(turn), F.col(node)).alias("r"), F.col(node).alias("n"))
 
-        both = edges.select("u", ranked("v").alias("other")).union(
-            edges.select(F.col("v").alias("u"), ranked("u").alias("other"))
-        )
-        joined = both.groupBy("u").agg(F.min("other").alias("lowest")).select(
-            F.struct(F.col("u").alias("k")).alias("key"), F.least("lowest", ranked("u"))["n"].alias("to")
-        )
-        joined = kept_table(joined, "names")
-        names = kept_table(
-            names.join(joined, F.struct(F.col("name").alias("k")) == F.col("key"), "left").select(
-                "node", F.coalesce("to", "name").alias("name")
-            ),
-            "components",
-        )
-        first = edges.join(joined, F.struct(F.col("u").alias("k")) == F.col("key")).select(F.col("to").alias("u"), "v")
-        second = first.join(joined, F.struct(F.col("v").alias("k")) == F.col("key")).select("u", F.col("to").alias("v"))
-        edges = kept_table(
-            second.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges"
+        both = edges.union(edges.select("v", "u"))
+        near = both.groupBy("u").agg(F.min(ranked("v")).alias("lowest")).select(
+            F.struct(F.col("u").alias("k")).alias("near_key"), F.least("lowest", ranked("u")).alias("lowest")
         )
+        near = kept_table(near, "near-names")
+        far = both.join(near, F.struct(F.col("v").alias("k")) == F.col("near_key")).groupBy("u").agg(F.min("lowest").alias("lowest"))
+        joined = kept_table(far.select(F.col("u").alias("node"), F.col("lowest.n").alias("name")), "names")
+        to = joined.select(F.struct(F.col("node").alias("k")).alias("key"), F.col("name").alias("to"))
+        first = edges.join(to, F.struct(F.col("u").alias("k")) == F.col("key")).select(F.col("to").alias("u"), "v")
+        second = first.join(to, F.struct(F.col("v").alias("k")) == F.col("key")).select("u", F.col("to").alias("v"))
+        left = kept_table(second.where("u != v"), "edges")
+        for spent in [edges, near]:
+            discard(spent)
+        edges = left
+        if names is None:
+            names = joined
+        else:
+            renamed = names.join(to, F.struct(F.col("name").alias("k")) == F.col("key"), "left")
+            renamed = kept_table(renamed.select("node", F.coalesce("to", "name").alias("name")), "components")
+            for spent in [names, joined]:
+                discard(spent)
+            names = renamed
+    discard(edges)
+    return names
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Connected components as ``contracted`` finds them, named by their smallest node: rows (node, component)."""
+    names = contracted(links, a, b)
     lowest = names.groupBy(F.struct(F.col("name").alias("k")).alias("key")).agg(F.min("node").alias("component"))
     return names.join(lowest, F.struct(F.col("name").alias("k")) == F.col("key")).select("node", "component")
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with as many underscores before it as it takes to differ from every column of ``df`` in any case."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{wanted}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the folder of a frame that ``kept_table`` wrote, once nothing reads it any more."""
     spark = df.sparkSession
