@@ -57,6 +57,30 @@ def test_odd_rows_and_empty_tables(odd, none, labels, name):
         assert n == len(ODD)
 
 
+CLASHING = ("s", "_key", "_md5", "_slice", "_sha", "_h", "_id", "_row", "_suspect", "_block", "_filter_block", "_keep", "_times", "_lost",
+            "__lost", "_toxicity", "_Toxicity2", "_doc", "_text", "_span_key", "_gone", "a.b")
+HANDS_ON = ("mix", "ordered", "clean", "align", "drop_exact", "drop_near")
+
+
+@pytest.mark.parametrize("name", HANDS_ON)
+def test_columns_with_clashing_names_are_handed_on(spark, labels, name):
+    values = [f"v{i}" for i in range(len(CLASHING))]
+    rows = [(1, "a b c d e f g h", "src0", *values), (2, "A B C D E F G H", None, *values), (3, None, "src1", *values)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "source", *CLASHING])
+    result = all_ops(labels)[name](df)
+    assert [c for c in result.columns if c in df.columns] == df.columns
+    found = [tuple(r) for r in result.select(*[f"`{c}`" for c in CLASHING]).collect()]
+    assert found == [tuple(values)] * {"drop_exact": 2, "drop_near": 2}.get(name, 3)
+
+
+@pytest.mark.parametrize("name, column", [("mix", "Mix_slot"), ("ordered", "mix_place"), ("align", "N_lines")])
+def test_result_columns_replace_those_of_the_same_name(spark, labels, name, column):
+    df = spark.createDataFrame([(1, "a b c", "src0", "x")], ["doc_id", "text", "source", column])
+    result = all_ops(labels)[name](df)
+    assert [c.lower() for c in result.columns].count(column.lower()) == 1
+    assert isinstance(result.first()[column.lower()], int)
+
+
 def test_exact_copies(odd):
     ids = sorted((r.doc_id is not None, r.doc_id or 0) for r in exact.drop_copies(odd).collect())
     assert [i for known, i in ids if known] == [2, 3, 4, 6, 7, 8, 9, 10] and len(ids) == 8

@@ -87,6 +87,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return names.join(lowest, F.struct(F.col("name").alias("k")) == F.col("key")).select("node", "component")
 
 
+def whole_row(df: DataFrame, name: str) -> Column:
+    """All columns of ``df`` as one struct, so that their names meet no others."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with as many underscores before it as it takes to differ from every column of ``df`` in any case."""
     taken = {c.lower() for c in df.columns}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ascii_lower
+from tributary.llm.common import ascii_lower, whole_row
 from tributary.session import kept_table
 
 CELLS = 256  # per block: four words of 64 bits
@@ -103,6 +103,7 @@ def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
 
     Rows that the filter clears pass through with their texts where they are; only suspects are shuffled.
     Suspects with the same text and id, null included, are told apart by nothing: one of them stays.
+    Other columns are handed on, whatever their names.
     """
     rows, blocks, repeats = _digests(df, text, doc_id)
     suspects = may_repeat(rows, "h", blocks, repeats).where("_suspect").select("doc_id", "sha")
@@ -115,12 +116,13 @@ def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     )
     stays = kept_table(stays.select(F.struct(F.col("sha").alias("s")).alias("_stay_key"), F.col("keep_id").alias("_keep"), F.col("times").alias("_times")), "stays")
 
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.withColumn("_sha", F.unhex(F.sha2(_normalised(text), 256))).withColumn("_h", F.xxhash64("_sha"))
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in df.columns]
+    sha, own_id = F.unhex(F.sha2(_normalised(text), 256)), F.col(f"`{doc_id}`").cast("long")
+    hashed = df.select(whole_row(df, "_row"), sha.alias("_sha"), own_id.alias("_id")).withColumn("_h", F.xxhash64("_sha"))
     marked = may_repeat(hashed, "_h", blocks, repeats)
     clear = marked.where("not _suspect").select(*columns)
     looked_up = marked.where("_suspect").join(stays, F.struct(F.col("_sha").alias("s")) == F.col("_stay_key"), "left")
-    staying = looked_up.where(F.col("_stay_key").isNull() | F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("_keep")))
+    staying = looked_up.where(F.col("_stay_key").isNull() | F.col("_id").eqNullSafe(F.col("_keep")))
     once = staying.where("_times is null or _times = 1").select(*columns)
     again = staying.where("_times > 1").dropDuplicates(["_sha"]).select(*columns)
     return clear.union(once).union(again)

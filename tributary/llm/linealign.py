@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import whole_row
 from tributary.session import kept_table
 
 RUNS = "id long, h long, run long"
@@ -196,6 +197,7 @@ def drop_aligned_blocks(
 
     Null text stays null, with no lines. A null id is smaller than any. Rows with the same id and text are
     one document and get the same result; with the same id and other text, the order is that of their hashes.
+    Other columns are handed on; one named n_lines or n_removed, in any case, gives way to the result's.
     """
     name, body = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
     lines = F.transform(F.split(body, "\n"), lambda x: F.trim(x))
@@ -230,15 +232,16 @@ def drop_aligned_blocks(
     per_document = kept_table(per_document, "removed-lines")
     if spans.count() <= broadcast_rows:
         per_document = F.broadcast(per_document)
-    joined = df.withColumn("_doc", F.struct(name.alias("id"), F.xxhash64(body).alias("h"))).join(
+    doc = F.struct(name.alias("id"), F.xxhash64(body).alias("h"))
+    joined = df.select(whole_row(df, "_row"), body.alias("_text"), doc.alias("_doc")).join(
         per_document, F.col("_doc").eqNullSafe(F.col("_span_key")), "left"
     )
-    split = F.split(body, "\n")
+    body, split = F.col("_text"), F.split("_text", "\n")
     gone = F.map_from_arrays("_gone", "_gone")
     left = F.filter(split, lambda x, i: ~F.map_contains_key(gone, i))
     cleaned = F.when(F.col("_gone").isNull(), body).otherwise(F.array_join(left, "\n"))
     return joined.select(
-        *[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns],
+        *[cleaned.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in df.columns if c.lower() not in ("n_lines", "n_removed")],
         F.when(body.isNull(), 0).otherwise(F.size(split)).alias("n_lines"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_removed"),
     )

@@ -8,10 +8,11 @@ from heapq import heappop, heappush
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import literal_table
+from tributary.llm.common import literal_table, whole_row
 from tributary.session import kept_table
 
 OTHER = "(other)"
+MIX_COLUMNS = ("mix_source", "mix_block", "mix_slot", "mix_place")
 
 
 def pfair_period(weights: Mapping[str, int]) -> dict[str, list[int]]:
@@ -64,6 +65,11 @@ def phases(weights: Mapping[str, int], blocks: Mapping[str, int]) -> list[dict]:
     return rows
 
 
+def _others(df: DataFrame) -> list[str]:
+    """The columns of ``df`` whose names are not those of the mix."""
+    return [c for c in df.columns if c.lower() not in MIX_COLUMNS]
+
+
 def mix_sources(
     df: DataFrame, weights: Mapping[str, int], other_weight: int, block_rows: int = 64,
     source: str = "source", doc_id: str = "doc_id", slice_rows: int = 20_000,
@@ -79,13 +85,16 @@ def mix_sources(
     schedule has as many entries as there are weights times their sum, whatever the data, and is the
     only thing broadcast. A hot source is spread over slices of the md5 order, as many as its rows
     need, and numbered by slice, so no task holds more than a slice. Rows that repeat an id and text
-    take places next to each other. An empty table gives no rows.
+    take places next to each other. An empty table gives no rows. Other columns are handed on; one that has the
+    name of a result column, in any case, gives way to it.
     """
     if any(w <= 0 for w in [*weights.values(), other_weight]):
         raise ValueError("weights must be positive whole numbers")
     wanted = {**weights, OTHER: other_weight}
     named = F.when(F.col(f"`{source}`").isin(*weights), F.col(f"`{source}`")).otherwise(F.lit(OTHER))
-    keyed = df.withColumn("mix_source", named).withColumn("_md5", F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary")))
+    name = F.col(f"`{doc_id}`")
+    md5 = F.md5(F.coalesce(name.cast("string"), F.lit("")).cast("binary"))
+    keyed = df.select(whole_row(df, "_row"), named.alias("mix_source"), name.alias("_doc_id"), md5.alias("_md5"))
     totals = {r["mix_source"]: r["n"] for r in keyed.groupBy("mix_source").agg(F.count(F.lit(1)).alias("n")).collect()}
     slices = max(1, -(-max(totals.values(), default=0) // slice_rows))
     place = F.conv(F.substring("_md5", 1, 12), 16, 10).cast("long")
@@ -99,7 +108,7 @@ def mix_sources(
         ),
         "slice-starts",
     )
-    inside = Window.partitionBy("mix_source", "_slice").orderBy("_md5", F.col(f"`{doc_id}`").asc_nulls_first())
+    inside = Window.partitionBy("mix_source", "_slice").orderBy("_md5", F.col("_doc_id").asc_nulls_first())
     numbered = sliced.withColumn("_local", F.row_number().over(inside)).join(
         starts, F.struct(F.col("mix_source").alias("s"), F.col("_slice").alias("p")) == F.col("_key")
     )
@@ -118,7 +127,7 @@ def mix_sources(
     width = F.size("_phase.slots").cast("long")
     slot = F.col("_phase.first_slot") + F.floor(local / width) * F.col("_phase.period") + F.get("_phase.slots", F.pmod(local, width).cast("int"))
     return joined.withColumn("_phase", phase).withColumn("mix_slot", slot).select(
-        *[F.col(f"`{c}`") for c in df.columns], "mix_source", F.col("mix_block").cast("long").alias("mix_block"),
+        *[F.col(f"_row.`{c}`").alias(c) for c in _others(df)], "mix_source", F.col("mix_block").cast("long").alias("mix_block"),
         F.col("mix_slot").cast("long").alias("mix_slot"), F.col("mix_place").cast("long").alias("mix_place"),
     )
 
@@ -130,4 +139,4 @@ def mixed_order(df: DataFrame, weights: Mapping[str, int], other_weight: int, bl
     """
     mixed = kept_table(mix_sources(df, weights, other_weight, block_rows, **names), "mixed")
     ordered = mixed.repartitionByRange("mix_slot", "mix_place").sortWithinPartitions("mix_slot", "mix_place")
-    return ordered.select(*[F.col(f"`{c}`") for c in df.columns], "mix_slot", "mix_place")
+    return ordered.select(*[F.col(f"`{c}`") for c in _others(df)], "mix_slot", "mix_place")

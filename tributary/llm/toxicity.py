@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import crc_remainder
+from tributary.llm.common import crc_remainder, free_name
 from tributary.llm.wordhash import text_chunks
 
 # Letters of other scripts that look like a Latin one, and digits or signs written for a letter.
@@ -239,8 +239,10 @@ def score_toxicity(df: DataFrame, labels: DataFrame, threshold: float = 0.3, fit
 def drop_toxic(df: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = 40_000, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``df`` that score below ``threshold``, whole, where they are.
 
-    A text without any entry of the lexicon stays, whatever share of the labelled rows is toxic.
+    A text without any entry of the lexicon stays, whatever share of the labelled rows is toxic. Other columns
+    are handed on, whatever their names.
     """
     lexicon = learn_lexicon(labelled_sample(df, labels, fit_rows, text, doc_id))
-    scored = df.withColumn("_toxicity", toxicity(F.col(f"`{text}`"), lexicon))
-    return scored.where((F.col("_toxicity.score") < threshold) | (F.col("_toxicity.hits") == 0)).drop("_toxicity")
+    found = free_name(df, "toxicity")
+    scored = df.withColumn(found, toxicity(F.col(f"`{text}`"), lexicon))
+    return scored.where((F.col(f"{found}.score") < threshold) | (F.col(f"{found}.hits") == 0)).drop(found)
