@@ -119,6 +119,13 @@ def test_components_of_a_chain(spark):
     assert {r.component for r in components(links).collect()} == {0}
 
 
+def test_a_star_with_repeated_links_and_loops_is_one_component(spark):
+    links = spark.range(1, 500).selectExpr("id + 1000 as a", "cast(7 as long) as b")
+    links = links.union(links.select("b", "a")).union(spark.range(3).selectExpr("id", "id")).union(spark.sql("select 3000L, 2000L"))
+    found = {r.node: r.component for r in components(links).collect()}
+    assert found == {7: 7, **{1000 + i: 7 for i in range(1, 500)}, 2000: 2000, 3000: 2000}
+
+
 def test_pfair_deviates_by_less_than_a_block():
     weights = {"a": 7, "b": 2, "c": 1, "d": 13}
     slots = mixing.pfair_period(weights)
