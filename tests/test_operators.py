@@ -174,6 +174,33 @@ def test_tree_depth_costs_its_logarithm(spark, monkeypatch):
     assert rounds.count("tree") <= 14
 
 
+def test_tree_paths_of_a_deep_tree_are_not_kept(spark, monkeypatch):
+    """A chain of 6,000 nodes with labels that do not compress: its paths take 108 MB, what is kept a tenth of it at most."""
+    from hashlib import md5
+    from pathlib import Path
+
+    from tributary.operators import tree
+
+    paths = []
+    monkeypatch.setattr(tree, "kept_table", lambda df, name, keep=tree.kept_table: paths.append(keep(df, name)) or paths[-1])
+    names = [md5(str(i).encode()).hexdigest()[:5] for i in range(6000)]
+    nodes = spark.createDataFrame([(i, i - 1, n) for i, n in enumerate(names)], "code long, parent int, label string")
+    found = {r.code: (r.depth, r.path) for r in tree.tree_paths(nodes, "code", "parent", "label", F.col("code") == 0).collect()}
+    assert found == {i: (i + 1, "-".join(names[: i + 1])) for i in range(6000)}
+    assert sum(Path(f.removeprefix("file:")).stat().st_size for p in paths for f in p.inputFiles()) < 11_000_000
+
+
+def test_tree_with_codes_on_several_rows(spark, monkeypatch):
+    """Two ways into every hundredth node: a path for each, also where the node is an anchor."""
+    up = {0: [None], **{i: [i - 1] + ([i - 3] if i % 100 == 50 else []) for i in range(1, 700)}}
+    nodes = spark.createDataFrame([(i, p, str(i)) for i, ps in up.items() for p in ps], "code int, parent int, label string")
+    expected = {0: ["0"]}
+    for i in range(1, 700):
+        expected[i] = [f"{path}-{i:05d}" for p in up[i] for path in expected[p]]
+    got = tree_paths(nodes, "code", "parent", "label", F.col("code") == 0).select("code", "depth", "path").collect()
+    assert sorted(map(tuple, got)) == sorted((i, p.count("-") + 1, p) for i, ps in expected.items() for p in ps)
+
+
 def test_tree_cycle_is_reported(spark):
     rooted = spark.createDataFrame([("7", "1", "a"), ("1", "7", "b")], "code string, parent string, label string")
     assert tree_paths(rooted, "code", "parent", "label", F.col("code") == "7").count() == 2  # a root's parent is ignored
