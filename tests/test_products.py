@@ -418,3 +418,20 @@ def test_treasury_table_is_merged_from_run_to_run(spark, tmp_path, rows):
 
     run({"ptres": "1"}, {"natureza_despesa": "44"})
     assert rows(run({"ptres": "2"}), "natureza_despesa", "ptres") == [("33", "2"), ("44", None)]
+
+
+def test_derived_tables_turn_numbers_and_dates_into_text_once(spark):
+    """Each amount and date once below the projection, whose code stays small enough to be compiled; rows as by the plain text."""
+    from tributary.workload.derived import RAW, computed_once, raw_reader
+
+    raw_reader(spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    read = lambda: {t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("lineitem", "orders", "customer")}
+    for name in ("empenhos_tesouro", "contratos", "dados_curriculo"):
+        tables = {t: df for t, df in read().items() if "{" + t + "}" in RAW[name]}
+        plain = spark.sql(RAW[name], **tables)
+        statement, tables = computed_once(RAW[name], tables)
+        once = spark.sql(statement, **tables)
+        assert once.schema == plain.schema and once.exceptAll(plain).isEmpty() and plain.exceptAll(once).isEmpty()
+        text = once._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("as decimal(15,2)) as string)") <= 2 and text.count("as date) as string)") <= 2
