@@ -161,3 +161,14 @@ def test_money_is_read_alike_by_name_and_by_column(spark):
     df = spark.createDataFrame([(v,) for v in odd], "v string")
     both = df.select(money.parse_money("v").alias("column"), F.expr("parse_financial_value(v)").alias("name"))
     assert both.where("not (column <=> name)").count() == 0
+
+
+def test_list_words_are_looked_up_before_their_surroundings(spark):
+    """The words of a list's text form: rewritten only where they stand as a value, by patterns that begin with the word."""
+    texts = ["[{'a': None}]", "[{'a':None,'b': True}]", "[{'a': 'x None, y'}]", "[{'a': '\\x41'}]", "[{'a':  None}]", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    parsed = df.select("i", text.python_list("t", "a: string, b: string").alias("l"))
+    found = {r.i: r.l and tuple(r.l[0]) for r in parsed.collect()}
+    assert found == {0: (None, None), 1: (None, "true"), 2: ("x None, y", None), 3: ("A", None), 4: None, 5: None}
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f", {word}(?<=" in plan for word in ("None", "True", "False"))
