@@ -435,3 +435,24 @@ def test_derived_tables_turn_numbers_and_dates_into_text_once(spark):
         assert once.schema == plain.schema and once.exceptAll(plain).isEmpty() and plain.exceptAll(once).isEmpty()
         text = once._jdf.queryExecution().optimizedPlan().toString()
         assert text.count("as decimal(15,2)) as string)") <= 2 and text.count("as date) as string)") <= 2
+
+
+def test_a_derived_table_computes_only_what_is_read(spark, tmp_path):
+    """Nothing is landed for a reader, a scan reads the columns in use, and a file large enough to be split is not shuffled."""
+    from tributary.workload import derived
+
+    raw = derived.raw_reader(spark, "/root/testdata/sf0.001")
+    landed = dict(derived._LANDED)
+    invoices = raw("faturas").select("contrato_id")
+    assert derived._LANDED == landed and invoices.count() > 0
+    plan = invoices._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" in plan and "l_extendedprice" not in plan and "l_shipdate" not in plan
+    assert "RoundRobinPartitioning" in plan
+
+    before, derived.SMALLEST_SPLIT = derived.SMALLEST_SPLIT, 1
+    try:
+        split = raw("faturas").select("contrato_id")
+        assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+        assert sorted(split.collect()) == sorted(invoices.collect())
+    finally:
+        derived.SMALLEST_SPLIT = before
