@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 from decimal import Decimal as D
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -329,6 +330,27 @@ def test_hierarchy_of_active_staff(spark, rows):
     assert rows(got, "cpf", "codigo_siorg", "servidores_carreira") == [(c, "FCE113", "Carreira") for c in "123"]
 
 
+def test_hierarchy_pairs_are_not_shuffled_and_their_repeats_go(spark):
+    units, posts, persons, employment = org(spark)
+    post = posts.first().asDict()
+    odd = [{**post, **change} for change in ({"denominacao": None}, {"nomeunidade": None}, {"denominacao": "Analista"}, {"funcao": "FCE 1 10", "denominacao": "Vice"}, {"funcao": "CCE 1 07", "denominacao": None})]
+    posts = posts.union(spark.createDataFrame(odd, posts.schema))
+    persons = persons.union(persons.where("cpf = '5'").withColumn("nome_pessoa", F.lit("outro"))).union(persons.where("cpf = '5'"))
+    active = employment.where("cpf = '1'")
+    more = [active.withColumn("cod_funcao", F.lit(code)).withColumn("nome_cargo", F.lit(job)) for code in ("FCE0110", "CCE0107", "FCE0113", "X9") for job in ("Analista", "Auditor", None)]
+    employment = reduce(lambda a, b: a.union(b), [employment, *more])
+
+    pairs = people._holders(
+        employment.where("dt_ocorr_aposentadoria is null and dt_ocorr_exclusao is null"), persons, units,
+    ).join(people._post_places(posts, units), F.expr("codigo_combinacao_siape = codigo_combinacao_siorg and sigla_uorg_exercicio = siglaunidade"), "left")
+    expected = people._correlated(pairs, persons).where("nome_situacao_funcional <> 'ATIVO EM OUTRO ORGAO'")
+    got = people.hierarquia(posts, units, employment, persons)
+    assert got.columns == expected.columns
+    assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str) and got.count() > 20
+    shape = got._jdf.queryExecution().optimizedPlan().toString()
+    assert shape.index("Union") < shape.index("Aggregate")  # only rows beside posts with gaps, and those without a post, are folded
+
+
 def test_posts_offered_and_occupied(spark, rows):
     _, posts, _, employment = org(spark)
     got = people.quantitativo_alocados_ocupados(employment, posts)
