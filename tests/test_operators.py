@@ -255,3 +255,13 @@ def test_quality_checks(spark, rows):
 def test_keep_one_priority(spark, rows):
     df = spark.createDataFrame([("a", 2, None), ("a", 1, 5), ("a", 1, 9), (None, 3, 1)], "k string, p int, v int")
     assert rows(keep_one(df, ["k"], F.col("p"), F.col("v").desc_nulls_last())) == [("a", 1, 9), (None, 3, 1)]
+
+
+def test_cascade_hands_on_links_found_before_once(spark, rows):
+    facts = spark.createDataFrame([("g1", "a", 1), ("g1", "b", 2), ("g2", "c", 3), (None, "a", 4)], "g string, k string, v int")
+    entities = spark.createDataFrame([("a", "e1"), ("a", "e2"), ("x", "e3")], "key string, entity string")
+    found = spark.createDataFrame([("e1", "g1", "a", 1), ("e9", "g1", "a", 1), ("e1", "g2", "c", 3), ("e1", None, "a", 4)], "entity string, g string, k string, v int")
+    got = cascade(facts, [Pass(entities, "key", "k")], "entity", "g", found=found)
+    assert rows(got, "entity", "v", "link_pass") == sorted([("e1", 1, 1), ("e2", 1, 1), ("e9", 1, 0), ("e1", 3, 0), ("e1", 4, 0)], key=str)
+    shape = got._jdf.queryExecution().optimizedPlan().toString()
+    assert shape.startswith("Union")  # links are not folded behind the joins

@@ -478,3 +478,14 @@ def test_a_derived_table_computes_only_what_is_read(spark, tmp_path):
         assert sorted(split.collect()) == sorted(invoices.collect())
     finally:
         derived.SMALLEST_SPLIT = before
+
+
+def test_links_of_contracts_and_treasury_rows_are_not_shuffled_again(spark):
+    """Behind the joins that make links nothing is folded or joined: the result's links are as many as rows times contracts of a reference."""
+    from tributary.workload.derived import raw_reader
+
+    shape = product("contratos_empenhos", raw_reader(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    lines = shape.splitlines()
+    first = next(i for i, line in enumerate(lines) if "Join" in line or "Aggregate" in line)
+    assert "Join Inner" in lines[first] and "_pass" in lines[first] and "_key" in lines[first]
+    assert any("Union" in line for line in lines[:first])
