@@ -337,3 +337,21 @@ def test_vectors_against_brute_force(spark):
     assert len(found) == 366 and (got <= wanted).all() and got.sum() >= 0.9 * wanted.sum()
     assert all(found[i].n_links == 0 for i in (901, 902, 903, 904, None)) and found[None].component_id is None
     assert re.fullmatch(r"\d+", str(found[900].component_id)) and found[900].component_id == found[0].component_id
+
+
+def test_warc_payloads_are_shuffled_once(spark, capsys, monkeypatch):
+    pages = [(5, "u", "same"), (3, "v", "same"), (3, "w", "other"), (None, "x", "same"), (9, None, None), (7, "y", None), (3, "z", "same")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    found = warc.with_revisits(frame)
+    rows = sorted((r.page_id or 0, r.url or "", bytes(r.payload).decode(), r.refers_to) for r in found.collect())
+    assert rows == [
+        (0, "x", "same", None), (3, "v", "same", None), (3, "w", "other", None), (3, "z", "same", None), (5, "u", "same", 3),
+        (7, "y", "", None), (9, "", "", 7),
+    ]
+    written, write = [], warc.write_archives
+    monkeypatch.setattr(warc, "write_archives", lambda given, folder: written.append(given) or write(given, folder))
+    assert warc.archive_round_trip(frame).count() == len(pages)
+    capsys.readouterr()
+    written[0].explain(mode="formatted")
+    steps = capsys.readouterr().out.split("\n\n")
+    assert sum(") Exchange" in s and "payload" in s.split("Arguments")[0] and "html" not in s for s in steps) == 1

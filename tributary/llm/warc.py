@@ -267,19 +267,24 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     The other pages refer to it. Payloads of fewer than ``least_bytes`` are all responses, and so are rows
     without an id, or with the id of the response itself. Payloads are grouped by SHA-1 and length with
-    partial aggregates; only the groups of two or more are looked up, and a hot one can be split.
+    partial aggregates, and the revisits are found among ids and digests, where a hot payload's rows can be split. The payloads
+    themselves are shuffled once, by id and digest, so copies of one payload are spread.
     """
     body = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     hashed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("payload")).withColumn(
         "same", F.struct(F.sha1("payload").alias("d"), F.length("payload").alias("n"))
     )
-    many = (
-        hashed.where((F.length("payload") >= least_bytes) & F.col("page_id").isNotNull())
-        .groupBy("same").agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select(F.struct(F.col("same").alias("s")).alias("same_key"), "first_page")
+    narrow = hashed.where((F.length("payload") >= least_bytes) & F.col("page_id").isNotNull()).select("page_id", "same")
+    many = narrow.groupBy("same").agg(F.min("page_id").alias("first_page"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    many = many.select(F.struct(F.col("same").alias("s")).alias("same_key"), "first_page")
+    revisits = (
+        narrow.join(many, F.struct(F.col("same").alias("s")) == F.col("same_key")).where("first_page != page_id")
+        .groupBy(F.col("page_id").alias("r_page"), F.col("same").alias("r_same")).agg(F.min("first_page").alias("refers_to"))
     )
-    joined = hashed.join(many, F.struct(F.col("same").alias("s")) == F.col("same_key"), "left")
-    return joined.select("page_id", "url", "payload", F.when(F.col("first_page") != F.col("page_id"), F.col("first_page")).alias("refers_to"))
+    width = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = hashed.repartition(width, "page_id", "same")
+    joined = dealt.join(revisits, (F.col("page_id") == F.col("r_page")) & (F.col("same") == F.col("r_same")), "left")
+    return joined.select("page_id", "url", "payload", "refers_to")
 
 
 def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -290,7 +295,6 @@ def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     their payload. Other columns are ignored. An empty table gives no rows.
     """
     spark = pages.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = with_revisits(pages, least_bytes).repartitionByRange(width, F.col("page_id"), F.xxhash64("url")).sortWithinPartitions("page_id")
+    ordered = with_revisits(pages, least_bytes).sortWithinPartitions("page_id")
     archives = write_archives(ordered, fresh_folder(spark, "warc"))
     return read_archives(normalise_archives(archives, fresh_folder(spark, "warc-members")))
