@@ -1,5 +1,6 @@
 """Operators against small brute-force or hand-computed results."""
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -265,3 +266,17 @@ def test_cascade_hands_on_links_found_before_once(spark, rows):
     assert rows(got, "entity", "v", "link_pass") == sorted([("e1", 1, 1), ("e2", 1, 1), ("e9", 1, 0), ("e1", 3, 0), ("e1", 4, 0)], key=str)
     shape = got._jdf.queryExecution().optimizedPlan().toString()
     assert shape.startswith("Union")  # links are not folded behind the joins
+
+
+def test_cascade_offers_keys_in_one_shuffle(spark, rows):
+    facts = spark.createDataFrame([("g1", "a", "x", 1), ("g1", "a", "x", 2), ("g2", "b", "y", 3), ("g3", "a", None, 4)], "g string, k string, l string, v int")
+    first = spark.createDataFrame([("a", "e1")], "key string, entity string")
+    second = spark.createDataFrame([("x", "e2"), ("y", "e3")], "key string, entity string")
+    passes = [Pass(first, "key", "k"), Pass(second, "key", "l")]
+    got = cascade(facts, passes, "entity", "g")
+    assert rows(got, "entity", "v", "link_pass") == [("e1", 1, 1), ("e1", 2, 1), ("e1", 4, 1), ("e3", 3, 2)]
+    shape = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[_group#\d+, _(pass|key)#\d+", shape)  # triples are not folded before the lookup of their keys
+    left = spark.createDataFrame([("g2",), ("g3",)], "g string")
+    got = cascade(facts, passes, "entity", "g", residue=left)
+    assert rows(got, "entity", "v", "link_pass") == [("e1", 4, 1), ("e3", 3, 2)]
