@@ -335,3 +335,22 @@ def test_merge_rewrites_changed_buckets_only(spark, tmp_path, rows):
     spark.range(3).write.parquet(str(tmp_path / "other"))
     with pytest.raises(ValueError, match="not laid out"):
         catalog.merge_table(spark, str(tmp_path / "other"), batch(), keys)
+
+
+def test_soap_undeclared_parses_only_what_holds_other_tags(spark, rows, monkeypatch):
+    body = "<E><Body>{}</Body></E>"
+    xml = [
+        body.format("<R a='1'><x>1</x></R><R/>"), body.format("<R><n:x>2</n:x><y>b &lt; c</y></R>"), body.format("<R><x><![CDATA[<z>]]></x></R>"),
+        body.format("<R><x>4</x><R><x>5</x></R></R>"), "<E></E>", None,
+    ]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xml)], "i int, xml string")
+    kept, write = [], soap.kept_table
+    monkeypatch.setattr(soap, "kept_table", lambda frame, name: kept.append(write(frame, name)) or kept[-1])
+    got = soap.records(df, "xml", "R", ["x"], keep=["i"], undeclared=True)
+    assert got.columns == ["i", "pos", "x", "r", "y"]
+    assert rows(got, "i", "pos", "x", "y") == sorted([
+        (0, 0, "1", None), (0, 1, None, None), (1, 0, "2", "b < c"), (2, 0, "<z>", None), (3, 0, "4", None), (3, 1, "5", None)], key=str)
+    assert kept[0].where("_all is not null").select("i").distinct().count() == 3  # rows 1, 2 and 3 alone
+    leaves = soap.flat_record(df, "xml", ["x"], keep=["i"], undeclared=True)
+    assert rows(leaves) == sorted([(0, "1", None), (1, "2", "b < c"), (2, "<z>", None), (3, "5", None)], key=str)
+    assert [k for k in kept[1].dtypes if k[0] == "_leaves"] == [("_leaves", "array<struct<tag:string,text:string>>")]

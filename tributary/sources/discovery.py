@@ -93,11 +93,16 @@ def parsed_json(df: DataFrame, value: str, declared: T.StructType) -> tuple[Data
 
 
 def map_keys_found(df: DataFrame, maps: Column, declared: list[str]) -> list[str]:
-    """All keys of a column of maps beyond the declared ones, sorted; keys that differ in case alone are one.
+    """All keys of a column of maps beyond the declared ones, as ``names_found`` lists them."""
+    return names_found(df, F.map_keys(maps), declared)
 
-    Distinct keys fold in every input task; what reaches the driver is the list of names.
+
+def names_found(df: DataFrame, names: Column, declared: list[str]) -> list[str]:
+    """All names of a column of lists beyond the declared ones, sorted; names that differ in case alone are one.
+
+    Distinct names fold in every input task; what reaches the driver is the list of names.
     """
-    keys = [r[0] for r in df.select(F.explode(F.map_keys(maps)).alias("k")).distinct().collect()]
+    keys = [r[0] for r in df.select(F.explode(names).alias("k")).distinct().collect()]
     taken = {d.lower() for d in declared}
     found = []
     for key in sorted(keys):

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tributary.functions.text import Colish, as_col
 from tributary.operators.keyed import keep_one
-from tributary.sources.discovery import map_keys_found
+from tributary.session import kept_table
+from tributary.sources.discovery import map_keys_found, names_found
 
 
 def plain_tags(c: Colish) -> Column:
     """XML text without namespace prefixes on its tags."""
-    return F.regexp_replace(as_col(c), r"(</?)[\w.-]+:", "$1")
+    return F.regexp_replace(as_col(c), r"(</?)[\w.-]++:", "$1")
 
 
 def _body(c: Colish) -> Column:
@@ -67,7 +68,8 @@ def records(df: DataFrame, xml: str, tag: str, fields: Sequence[str], keep: Sequ
 
     A response without a body gives no rows. Child elements not among ``fields`` are left out, or with ``undeclared`` become
     text columns after them, by name: all children that any element has, found by a pass over the responses.
-    Of a repeated undeclared child the last stays, and one that has children itself gives the text before them.
+    Of a repeated undeclared child the last stays, and one that has children itself gives the text before them. With ``undeclared``
+    the elements are cut out once and kept for both passes.
     """
     exploded = df.select(*keep, F.posexplode(_elements(xml, tag)).alias("pos", "_xml"))
     if undeclared:
@@ -75,7 +77,10 @@ def records(df: DataFrame, xml: str, tag: str, fields: Sequence[str], keep: Sequ
         # Neither prefix can begin a tag, so attributes and loose text are told apart from children.
         options = {"attributePrefix": "@", "valueTag": "#"}
         children = F.map_filter(F.from_xml(wrapped, f"`{tag}` map<string, string>", options)[tag], lambda k, _: ~k.rlike("^[@#]"))
-        exploded = exploded.withColumn("_all", children)
+        # Parsing is dear, so only elements that hold another tag than the declared ones are parsed for it.
+        tags = F.regexp_extract_all("_xml", F.lit(r"<([^\s/>!?][^\s/>]*)"), 1)
+        beyond = F.exists(F.slice(tags, 2, F.greatest(F.size(tags), F.lit(1))), lambda name: ~name.isin(*fields) if fields else F.lit(True))
+        exploded = kept_table(exploded.withColumn("_all", F.when(beyond, children)), "soap-elements")
     parsed = exploded.withColumn("_r", F.from_xml("_xml", _ddl(fields)))
     found = map_keys_found(exploded, F.col("_all"), fields) if undeclared else []
     return parsed.select(*keep, "pos", *_lowered("_r", fields), *[_own_text(F.col("_all")[f]).alias(f.lower()) for f in found])
@@ -93,17 +98,20 @@ def flat_record(df: DataFrame, xml: str, fields: Sequence[str], keep: Sequence[s
     With ``undeclared`` the leaves that are not among ``fields`` become text columns after them, by name. They are the union
     over all responses, found by a pass over them.
     """
-    leaf = r"(?s)<([\w.-]+)(?:\s[^>]*)?>((?:<!\[CDATA\[.*?\]\]>|[^<])*+)</\1>"
-    body = df.select(*keep, _body(xml).alias("_b")).where("_b is not null")
-    leaves = body.select(
-        *keep,
-        F.arrays_zip(
-            F.regexp_extract_all("_b", F.lit(leaf), 1).alias("tag"),
-            F.regexp_extract_all("_b", F.lit(leaf), 2).alias("text"),
-        ).alias("_leaves"),
-    )
-    filled = F.array_distinct(F.transform(F.filter("_leaves", lambda x: F.trim(x["text"]) != ""), lambda x: x["tag"]))
-    found = map_keys_found(leaves, F.map_from_arrays(filled, filled), fields) if undeclared else []
+    leaf = r"(?s)<([\w.-]+)(?:\s[^>]*)?>[^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+</\1>"
+    # As a list of one or none, the body is computed once for the question whether there is one and the answer.
+    body = df.select(*keep, F.explode(F.array_compact(F.array(_body(xml)))).alias("_b"))
+
+    def parts(element: Column) -> Column:
+        tag, begins = F.regexp_extract(element, r"^<([\w.-]+)", 1), F.locate(">", element)
+        text = F.substr(element, begins + 1, F.length(element) - begins - F.length(tag) - 3)
+        return F.struct(tag.alias("tag"), text.alias("text"))
+
+    leaves = body.select(*keep, F.transform(F.regexp_extract_all("_b", F.lit(leaf), 0), parts).alias("_leaves"))
+    filled = F.transform(F.filter("_leaves", lambda x: F.trim(x["text"]) != ""), lambda x: x["tag"])
+    if undeclared:
+        leaves = kept_table(leaves, "soap-leaves")  # read for the names and for the rows
+    found = names_found(leaves, filled, fields) if undeclared else []
 
     def last(field: str) -> Column:
         hits = F.filter("_leaves", lambda x: (x["tag"] == field) & (F.trim(x["text"]) != ""))
