@@ -322,6 +322,21 @@ def test_model_beats_the_base_and_sums_to_one(spark):
     assert tables[0] == 1 and (tables >= 1).all() and (tables <= ns).all()
 
 
+@pytest.mark.parametrize("by_table", [1024, 8])
+def test_seating_is_that_of_one_customer_after_the_other(monkeypatch, by_table):
+    monkeypatch.setattr(pitman_yor, "BY_TABLE", by_table)
+    for n, new, discount in ((10, 0.7, 0.5), (200, 30.0, 0.5), (400, 3.0, 0.9)):
+        share = np.eye(n + 1)[1]  # chance of t tables
+        t = np.arange(n + 1)
+        for m in range(1, n):
+            opens = share * new / (new + np.maximum(m - discount * t, 0))
+            share = share - opens + np.roll(opens, 1)
+        mean = share @ t
+        deviation = np.sqrt(share @ (t - mean) ** 2)
+        drawn = pitman_yor.seat(np.full(4000, n), np.full(4000, new), discount, np.random.default_rng(3))
+        assert abs(drawn.mean() - mean) < 4 * deviation / np.sqrt(4000) and abs(drawn.std() / deviation - 1) < 0.06, (n, drawn.mean(), mean)
+
+
 def test_vectors_against_brute_force(spark):
     draw = np.random.default_rng(2)
     centres = draw.standard_normal((30, 64))
