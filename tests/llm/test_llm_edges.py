@@ -4,6 +4,7 @@ import gzip
 import io
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -299,6 +300,15 @@ def test_encoder_agrees_with_the_library():
         assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
 
 
+def test_encoder_hands_cuts_to_the_merges_alone():
+    library, letters = Tokenizer.from_file(TOKENIZER), "".join(map(chr, [*range(0x250), 0x20AC, 0x1F600, 0xFFFF]))
+    texts = [letters, letters[::-1], " ".join(letters), "\n".join(letters), " \xad\xff\x00 ÿÿ", ""]
+    encode = Encoder(TOKENIZER)
+    encode._tokenizer = SimpleNamespace(model=encode._tokenizer.model)  # no pass through the whole of the library for each cut
+    for text, ids in zip(texts, encode(texts)):
+        assert ids == np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), text
+
+
 def test_token_file_reads_single_documents_and_checks_frames():
     out, documents = io.BytesIO(), [np.arange(n, dtype="<u4").tobytes() for n in (3, 0, 70_000, 5)]
     writer = token_files.TokenFileWriter(out, frame_bytes=64)

@@ -25,11 +25,20 @@ LATIN_TEXT = re.compile(
 )
 _BEYOND_LATIN = re.compile("[^\\0-ɏ]")
 
+# How byte-level vocabularies spell bytes: printable Latin-1 as it is, the others as U+0100 onwards. No UTF-8 holds the byte 0xFF.
+_SPELLED_AS_IS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELLING = dict(zip((b for b in range(256) if b not in _SPELLED_AS_IS), map(chr, range(0x100, 0x200))))
+
+
+def _spelled(cuts: list[str]) -> list[str]:
+    """The cuts in the characters of the vocabulary, as its byte-level pre-tokenizer hands them to the merges."""
+    return "\udcff".join(cuts).encode("utf-8", "surrogateescape").decode("latin-1").translate(_SPELLING).split("\xff")
+
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizers library encodes each distinct cut once and its ids are remembered in two generations:
+    The tokenizers library's merges encode each distinct cut once and its ids are remembered in two generations:
     when the younger one is full it becomes the older, whose cuts move back as they occur again. So the
     memory is bounded by about twice ``remembered`` entries and frequent cuts stay. A text that spells a
     special token goes to the library whole, since the library takes such tokens out before it cuts.
@@ -75,13 +84,9 @@ class Encoder:
         again = missing.intersection(older)
         known.update(zip(again, map(older.__getitem__, again)))
         if new := list(missing.difference(again)):
-            encoding = self._tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids, words = array("I", encoding.ids), encoding.word_ids
-            start = 0
-            for end in range(1, len(words) + 1):
-                if end == len(words) or words[end] != words[start]:
-                    known[new[words[start]]] = ids[start:end].tobytes()
-                    start = end
+            tokenize = self._tokenizer.model.tokenize
+            for cut, spelled in zip(new, _spelled(new)):
+                known[cut] = array("I", [token.id for token in tokenize(spelled)]).tobytes()
         return [b"".join(map(known.__getitem__, cuts)) for cuts in lists]
 
 
