@@ -347,6 +347,21 @@ def test_seating_is_that_of_one_customer_after_the_other(monkeypatch, by_table):
         assert abs(drawn.mean() - mean) < 4 * deviation / np.sqrt(4000) and abs(drawn.std() / deviation - 1) < 0.06, (n, drawn.mean(), mean)
 
 
+def test_probes_carry_sketches_that_lose_no_link(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    x = np.concatenate([c + 0.3 * draw.standard_normal((20, 24)) for c in draw.standard_normal((20, 24))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    most, cosine = lattice.most_cosine(lattice.sketches(x), lattice.sketches(x)), x @ x.T
+    assert (most >= cosine).all() and (most <= cosine + 0.04).all()
+    seen = []
+    monkeypatch.setattr(lattice, "_in_blocks", lambda *a, of=lattice._in_blocks: seen.append(of(*a)) or seen[-1])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in lattice.near_vectors(rows, block_rows=7).collect()}
+    wanted = (cosine >= 0.9).sum(axis=1) - 1
+    assert all(found[i] <= n for i, n in enumerate(wanted)) and sum(found.values()) >= 0.9 * wanted.sum() > 0
+    assert len(seen) == 3 and [any("unit" in c for c in s.columns) for s in seen] == [True, False, False]
+
+
 def test_vectors_against_brute_force(spark):
     draw = np.random.default_rng(2)
     centres = draw.standard_normal((30, 64))

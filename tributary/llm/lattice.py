@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import components
+from tributary.llm.common import components, discard
 from tributary.session import kept_table
 
 
@@ -79,7 +79,27 @@ class E8Tables:
         return home, near
 
 
-UNITS = "rep long, members long, unit binary, home_bytes binary, homes array<long>, near array<long>"
+def sketches(x: np.ndarray) -> list[bytes]:
+    """Per unit vector its largest component, the length of what rounding takes away, and the components in 8 bits."""
+    largest = np.abs(x).max(axis=1, keepdims=True)
+    rounded = np.rint(x / largest * 127).astype(np.int8)
+    lost = np.sqrt(((x - rounded * (largest / 127)) ** 2).sum(axis=1, keepdims=True))
+    return [h.tobytes() + r.tobytes() for h, r in zip(np.concatenate((largest, lost), axis=1), rounded)]
+
+
+def most_cosine(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """What the cosines of sketched vectors are at most: u v = u' v' + u' (v - v') + (u - u') v."""
+    sides = []
+    for s in (a, b):
+        raw = np.frombuffer(b"".join(s), dtype=np.uint8).reshape(len(s), -1)
+        largest, lost = np.ascontiguousarray(raw[:, :16]).view(np.float64).T
+        sides.append((raw[:, 16:].view(np.int8) * (largest / 127)[:, None], lost))
+    (u, p), (v, q) = sides
+    return u @ v.T + p[:, None] + (1 + p[:, None]) * q[None, :] + 1e-9
+
+
+UNITS = "rep long, members long, unit binary, sketch binary, home_bytes binary, homes array<long>, near array<long>"
+PAIRS = "a long, b long"
 FOUND = "rep long, linked long, a long, b long"
 
 
@@ -106,9 +126,9 @@ def _units(tables: int, blocks: int, scale: float, probes: int):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(rep[rows]), pa.array(members[rows]), pa.array([u.tobytes() for u in x], pa.binary()),
-                            pa.array([h.tobytes() for h in home], pa.binary()), lists(home), lists(near),
+                            pa.array(sketches(x), pa.binary()), pa.array([h.tobytes() for h in home], pa.binary()), lists(home), lists(near),
                         ],
-                        names=["rep", "members", "unit", "home_bytes", "homes", "near"],
+                        names=["rep", "members", "unit", "sketch", "home_bytes", "homes", "near"],
                     )
 
     return run
@@ -134,12 +154,10 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _compare(threshold: float, tables: int, probing: bool):
+def _compare(threshold: float, tables: int):
     """Arrow stage over pairs of blocks of one cell: exact cosines, links counted per vector.
 
-    Two vectors that share a home cell are counted in the first table where they do, so once. For a
-    block that probes, only pairs without any common home are new; they are given out one by one, since
-    several probes may find the same pair.
+    Two vectors that share a home cell are counted in the first table where they do, so once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,30 +168,22 @@ def _compare(threshold: float, tables: int, probing: bool):
                 for s in "lr":
                     reps = np.array(get[f"{s}_rep"], dtype=np.int64)
                     unit = np.frombuffer(b"".join(get[f"{s}_unit"]), dtype=np.float64).reshape(len(reps), -1)
-                    homes = np.frombuffer(b"".join(get[f"{s}_homes"]), dtype=np.int64).reshape(len(reps), tables)
+                    homes = np.frombuffer(b"".join(get[f"{s}_home_bytes"]), dtype=np.int64).reshape(len(reps), tables)
                     sides.append((reps, np.array(get[f"{s}_members"], dtype=np.int64), unit, homes))
                 (ra, ma, ua, ha), (rb, mb, ub, hb) = sides
                 if ua.shape[1] != ub.shape[1]:
                     continue
                 linked = ua @ ub.T >= threshold
-                if probing:
-                    linked &= ra[:, None] != rb[None, :]
-                    for t in range(tables):
-                        linked &= ha[:, t, None] != hb[None, :, t]
-                    i, j = np.nonzero(linked)
-                    a, b = np.minimum(ra[i], rb[j]), np.maximum(ra[i], rb[j])
-                    rep = linked_by = np.zeros(0, dtype=np.int64)
-                else:
-                    for t in range(get["t"]):
-                        linked &= ha[:, t, None] != hb[None, :, t]
-                    if get["same"]:
-                        linked = np.triu(linked, 1)
-                    rep = np.concatenate((ra, rb))
-                    linked_by = np.concatenate((linked @ mb, ma @ linked))
-                    some = linked_by > 0
-                    rep, linked_by = rep[some], linked_by[some]
-                    edges = np.array(_forest(linked), dtype=np.int64).reshape(-1, 2)
-                    a, b = ra[edges[:, 0]], rb[edges[:, 1]]
+                for t in range(get["t"]):
+                    linked &= ha[:, t, None] != hb[None, :, t]
+                if get["same"]:
+                    linked = np.triu(linked, 1)
+                rep = np.concatenate((ra, rb))
+                linked_by = np.concatenate((linked @ mb, ma @ linked))
+                some = linked_by > 0
+                rep, linked_by = rep[some], linked_by[some]
+                edges = np.array(_forest(linked), dtype=np.int64).reshape(-1, 2)
+                a, b = ra[edges[:, 0]], rb[edges[:, 1]]
                 none = lambda k: pa.nulls(k, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -186,23 +196,56 @@ def _compare(threshold: float, tables: int, probing: bool):
     return run
 
 
-def _in_blocks(members: DataFrame, units: DataFrame, prefix: str, block_rows: int) -> DataFrame:
-    """(t, cell) members gathered into blocks of about ``block_rows``, however many a cell has.
+def _suspects(threshold: float, tables: int):
+    """Arrow stage over a block that probes a cell and a block at home there: pairs that share no home cell and whose sketches
+    allow a cosine of ``threshold``. Several probes may find the same pair.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                get = {n: batch.column(n)[row].as_py() for n in batch.schema.names}
+                if len(get["l_sketch"][0]) != len(get["r_sketch"][0]):
+                    continue
+                (ra, ha), (rb, hb) = (
+                    (np.array(get[f"{s}_rep"], dtype=np.int64), np.frombuffer(b"".join(get[f"{s}_home_bytes"]), dtype=np.int64).reshape(-1, tables))
+                    for s in "lr"
+                )
+                i, j = np.nonzero((most_cosine(get["l_sketch"], get["r_sketch"]) >= threshold) & (ra[:, None] != rb[None, :]))
+                apart = (ha[i] != hb[j]).all(axis=1)
+                i, j = i[apart], j[apart]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ra[i], rb[j])), pa.array(np.maximum(ra[i], rb[j]))], names=["a", "b"])
+
+    return run
+
+
+def _confirmed(threshold: float):
+    """Arrow stage over pairs with both vectors: those whose cosine is ``threshold`` at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                u, v = part.column("a_unit").to_pylist(), part.column("b_unit").to_pylist()
+                linked = [len(x) == len(y) and np.frombuffer(x) @ np.frombuffer(y) >= threshold for x, y in zip(u, v)]
+                yield part.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return run
+
+
+def _in_blocks(members: DataFrame, units: DataFrame, prefix: str, block_rows: int, carried: tuple[str, ...]) -> DataFrame:
+    """(t, cell) members gathered into blocks of about ``block_rows``, however many a cell has, with their ``carried`` columns.
 
     A cell's block count follows from its size, which a partial count finds; the lookup of that count
-    and of the vectors are joins whose big side can be split.
+    and of the carried columns are joins whose big side can be split.
     """
     sizes = members.groupBy(F.struct("t", "cell").alias("cell_key")).agg(F.count(F.lit(1)).alias("n"))
     blocked = members.join(sizes, F.struct("t", "cell") == F.col("cell_key")).select(
         "t", "cell", F.col("who"), F.pmod(F.xxhash64("who"), F.ceil(F.col("n") / block_rows)).alias("block"), "n"
     )
-    full = blocked.join(units.select("rep", "members", "unit", "home_bytes"), F.col("who") == F.col("rep"))
-    return full.groupBy("t", "cell", "block").agg(
-        F.collect_list(F.struct("rep", "members", "unit", "home_bytes")).alias("m"), F.max("n").alias(f"{prefix}_n")
-    ).select(
-        "t", "cell", F.col("block").alias(f"{prefix}_block"), f"{prefix}_n",
-        F.col("m.rep").alias(f"{prefix}_rep"), F.col("m.members").alias(f"{prefix}_members"),
-        F.col("m.unit").alias(f"{prefix}_unit"), F.col("m.home_bytes").alias(f"{prefix}_homes"),
+    full = blocked.join(units.select(*carried), F.col("who") == F.col("rep"))
+    return full.groupBy("t", "cell", "block").agg(F.collect_list(F.struct(*carried)).alias("m"), F.max("n").alias(f"{prefix}_n")).select(
+        "t", "cell", F.col("block").alias(f"{prefix}_block"), f"{prefix}_n", *[F.col(f"m.{c}").alias(f"{prefix}_{c}") for c in carried]
     )
 
 
@@ -214,7 +257,8 @@ def near_vectors(
 
     Vectors are projected at random and decoded to E8 lattice points in ``tables`` tables; vectors of
     the same cell, and of a cell and its nearest neighbours, are compared by exact cosine in double
-    precision. ``n_links`` counts the other rows linked directly, ``component_id`` is the smallest id
+    precision; neighbours whose 8-bit sketches rule a link out are left out before, so probes carry no vectors.
+    ``n_links`` counts the other rows linked directly, ``component_id`` is the smallest id
     reachable. Equal vectors are one class with a count throughout, so copies never form pairs. Vectors of different
     dimension are not compared. Null, empty, zero vectors, those with null or non-finite components,
     and rows without an id link with nothing; a row without an id has a null component and is kept.
@@ -238,20 +282,29 @@ def near_vectors(
     )
     shared = homes.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = homes.join(shared.select(F.struct("t", "cell").alias("cell_key")), F.struct("t", "cell") == F.col("cell_key"), "left_semi")
-    home_blocks = kept_table(_in_blocks(crowded, units, "l", block_rows), "home-blocks")
-    other = home_blocks.select("t", "cell", *[F.col(c).alias(c.replace("l_", "r_", 1)) for c in home_blocks.columns[2:]])
-    within = home_blocks.join(other, ["t", "cell"]).where("l_block <= r_block").withColumn("same", F.col("l_block") == F.col("r_block"))
-    found = within.drop("l_n", "r_n", "l_block", "r_block", "cell").mapInArrow(_compare(threshold, tables, False), FOUND)
+    home_blocks = kept_table(_in_blocks(crowded, units, "l", block_rows, ("rep", "members", "unit", "home_bytes")), "home-blocks")
+    as_other = [F.col(c).alias(c.replace("l_", "r_", 1)) for c in home_blocks.columns[2:]]
+    alone = home_blocks.where(F.col("l_n") <= block_rows).select("*", *as_other)  # cells of one block need no join
+    large = home_blocks.where(F.col("l_n") > block_rows)
+    within = alone.union(large.join(large.select("t", "cell", *as_other), ["t", "cell"]).where("l_block <= r_block"))
+    within = within.withColumn("same", F.col("l_block") == F.col("r_block"))
+    found = within.drop("l_n", "r_n", "l_block", "r_block", "cell").mapInArrow(_compare(threshold, tables), FOUND)
 
     occupied = homes.select(F.struct("t", "cell").alias("cell_key")).distinct()
     hits = around.join(occupied, F.struct("t", "cell") == F.col("cell_key"), "left_semi")
     probed = hits.select(F.struct("t", "cell").alias("cell_key")).distinct()
     hit_homes = homes.join(probed, F.struct("t", "cell") == F.col("cell_key"), "left_semi")
-    across = _in_blocks(hits, units, "l", block_rows).join(_in_blocks(hit_homes, units, "r", block_rows), ["t", "cell"])
-    extra = across.drop("l_n", "r_n", "l_block", "r_block", "t", "cell").mapInArrow(_compare(threshold, tables, True), FOUND)
+    sketched = ("rep", "sketch", "home_bytes")
+    across = _in_blocks(hits, units, "l", block_rows, sketched).join(_in_blocks(hit_homes, units, "r", block_rows, sketched), ["t", "cell"])
+    extra = across.drop("l_n", "r_n", "l_block", "r_block", "t", "cell").mapInArrow(_suspects(threshold, tables), PAIRS)
 
     found = kept_table(found, "home-links")
-    pairs = kept_table(extra.select("a", "b").distinct(), "probe-links")
+    discard(home_blocks)
+    suspects = kept_table(extra.distinct(), "suspects")
+    of_a, of_b = (units.select(F.col("rep").alias(f"{s}_rep"), F.col("unit").alias(f"{s}_unit")) for s in "ab")
+    both = suspects.join(of_a, F.col("a") == F.col("a_rep")).join(of_b, F.col("b") == F.col("b_rep")).select("a", "b", "a_unit", "b_unit")
+    pairs = kept_table(both.mapInArrow(_confirmed(threshold), PAIRS), "probe-links")
+    discard(suspects)
     size = units.select(F.col("rep").alias("with"), "members")
     ends = pairs.select(F.col("a").alias("rep"), F.col("b").alias("with")).union(pairs.select(F.col("b").alias("rep"), F.col("a").alias("with")))
     counts = (
