@@ -489,3 +489,30 @@ def test_links_of_contracts_and_treasury_rows_are_not_shuffled_again(spark):
     first = next(i for i, line in enumerate(lines) if "Join" in line or "Aggregate" in line)
     assert "Join Inner" in lines[first] and "_pass" in lines[first] and "_key" in lines[first]
     assert any("Union" in line for line in lines[:first])
+
+
+def test_months_of_the_spine_are_not_shuffled_behind_their_unfolding(spark, tmp_path, rows):
+    """Same rows as two full joins, null contracts and months included, and no exchange or sort above the unfolded spine."""
+    values = ", ".join(f"{v} decimal(28,2)" for v in contracts.STAGE_VALUES)
+    day = [date(2024, m, 1) for m in range(1, 7)]
+    stages = spark.createDataFrame(
+        [("a", day[1], *[D(1)] * 5), ("a", day[5], *[D(2)] * 5), ("a", None, *[D(3)] * 5), (None, day[0], *[D(4)] * 5), ("z", day[0], *[D(5)] * 5)],
+        f"contrato_id string, mes_lancamento date, {values}")
+    money = "valor_cronograma valor_faturas_pagas valor_faturas_pendentes saldo_contratual_disponivel".split()
+    monthly = spark.createDataFrame(
+        [("a", day[0], *[D(1)] * 4), ("a", day[3], *[D(2)] * 4), ("a", None, *[D(3)] * 4), (None, day[0], *[D(4)] * 4),
+         (None, day[1], *[D(4)] * 4), ("b", day[1], *[D(5)] * 4), ("c", None, *[D(6)] * 4)],
+        f"contrato_id string, mes_ref date, {', '.join(f'{v} decimal(25,2)' for v in money)}")
+    stages.write.parquet(str(tmp_path / "stages"))
+    monthly.write.parquet(str(tmp_path / "monthly"))
+    stages, monthly = spark.read.parquet(str(tmp_path / "stages")), spark.read.parquet(str(tmp_path / "monthly"))
+    spine = contracts.preenchimento_meses(monthly)
+    keys = ["contrato_id", "mes_ref"]
+    treasury = stages.select("contrato_id", F.col("mes_lancamento").alias("mes_ref"), *contracts.STAGE_VALUES)
+    procurement = monthly.select(*keys, "valor_cronograma", (F.col(money[1]) + F.col(money[2])).alias("invoiced"), money[3])
+    expected = procurement.join(treasury, keys, "full").join(spine, keys, "full")
+    got = contracts.contratos_comparativo_mensal(stages, monthly, spine)
+    assert rows(got) == rows(expected) and got.count() == 15
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = lines[:next(i for i, line in enumerate(lines) if "Generate" in line)]
+    assert not [line for line in above if "Exchange" in line or "Sort" in line]
