@@ -516,3 +516,17 @@ def test_months_of_the_spine_are_not_shuffled_behind_their_unfolding(spark, tmp_
     lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
     above = lines[:next(i for i, line in enumerate(lines) if "Generate" in line)]
     assert not [line for line in above if "Exchange" in line or "Sort" in line]
+
+
+def test_equal_stage_rows_fold_without_another_shuffle(spark, tmp_path):
+    treasury(
+        spark, dict(ne_ccor="1" * 11 + "2024NE000001", ne_ccor_favorecido="s", emissao_dia="05/03/2024", emissao_mes="MAR/2024")
+    ).write.parquet(str(tmp_path / "treasury"))
+    monthly = contracts.estagios_mensal(spark.read.parquet(str(tmp_path / "treasury"))).hint("merge").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = monthly._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = lines[:next(i for i, line in enumerate(lines) if "Join" in line)]
+    assert not [line for line in above if "Exchange" in line]
