@@ -530,3 +530,28 @@ def test_equal_stage_rows_fold_without_another_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     above = lines[:next(i for i, line in enumerate(lines) if "Join" in line)]
     assert not [line for line in above if "Exchange" in line]
+
+
+def test_a_kept_table_releases_what_it_shuffled(spark):
+    """The shuffle files behind a kept table go once it is written; the setting is as it was, and the frame can be read again."""
+    import time
+
+    from tributary.session import RELEASE, kept_table
+
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().iterator()
+        found = set()
+        while blocks.hasNext():
+            block = blocks.next()
+            found |= {block.name()} if block.isShuffle() else set()
+        return found
+
+    before, setting = shuffled(), spark.conf.get(RELEASE)
+    grouped = spark.range(0, 5000, 1, 4).groupBy((F.col("id") % 700).alias("k")).agg(F.count("*").alias("n"))
+    table = kept_table(grouped, "released")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(RELEASE) == setting
+    assert table.count() == grouped.count() == 700
