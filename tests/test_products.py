@@ -555,3 +555,12 @@ def test_a_kept_table_releases_what_it_shuffled(spark):
         time.sleep(0.2)
     assert not shuffled() - before and spark.conf.get(RELEASE) == setting
     assert table.count() == grouped.count() == 700
+
+
+@pytest.mark.parametrize("name, joins", [("product_contratos_estagios", 1), ("product_ted_resumo_orcamentario", 6)])
+def test_what_a_long_plan_shuffles_is_released_on_the_way(spark, name, joins):
+    """Before its last joins a plan's parts are written, and neither a provided table nor a raw one is read behind them."""
+    from tributary.workload.registry import QUERIES
+
+    shape = QUERIES[name].build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert shape.count("Join ") == joins and "l_orderkey" not in shape and "o_orderkey" not in shape
