@@ -557,7 +557,7 @@ def test_a_kept_table_releases_what_it_shuffled(spark):
     assert table.count() == grouped.count() == 700
 
 
-@pytest.mark.parametrize("name, joins", [("product_contratos_estagios", 1), ("product_ted_resumo_orcamentario", 6)])
+@pytest.mark.parametrize("name, joins", [("product_contratos_estagios", 1), ("product_ted_resumo_orcamentario", 6), ("history_tracked_tables", 0)])
 def test_what_a_long_plan_shuffles_is_released_on_the_way(spark, name, joins):
     """Before its last joins a plan's parts are written, and neither a provided table nor a raw one is read behind them."""
     from tributary.workload.registry import QUERIES
